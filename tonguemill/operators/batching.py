@@ -30,6 +30,12 @@ class Batching:
     limit: int = MAX_BYTES
 
 
+def _in_map_batches(cells: DataFrame, chunk_size: int) -> DataFrame:
+    """Add chunk_id and map_batch: a chunk is worked off in batches of at most 64 rows."""
+    map_batch = F.floor((F.col(ROW) % chunk_size) / F.lit(min(MAP_ROWS, chunk_size))).cast("bigint")
+    return assign_chunks(cells, chunk_size).withColumn("map_batch", map_batch)
+
+
 def group_cells(cells: DataFrame, batching: Batching = Batching()) -> DataFrame:
     """Add the group each text is sent in, null for texts that go alone; drop what is never sent.
 
@@ -37,7 +43,6 @@ def group_cells(cells: DataFrame, batching: Batching = Batching()) -> DataFrame:
     consecutive non-empty texts and restart in every map batch, so each window holds at most 64 rows.
     A map batch with a single non-null text is not packed, nor one whose system prompts are all equal.
     """
-    map_rows = min(MAP_ROWS, batching.chunk_size)
     batch = Window.partitionBy(*BATCH)
     up_to_here = batch.orderBy(ROW).rowsBetween(Window.unboundedPreceding, 0)
     sent = F.when(F.col("text") != "", 1)
@@ -47,8 +52,7 @@ def group_cells(cells: DataFrame, batching: Batching = Batching()) -> DataFrame:
         & (F.min("text").over(batch) == F.max("text").over(batch))
     )
     return (
-        assign_chunks(cells, batching.chunk_size)
-        .withColumn("map_batch", F.floor((F.col(ROW) % batching.chunk_size) / F.lit(map_rows)).cast("bigint"))
+        _in_map_batches(cells, batching.chunk_size)
         .withColumns({
             "_rows": F.count(F.lit(1)).over(batch),
             "_non_null": F.count("text").over(batch),
@@ -108,3 +112,16 @@ def returned_cells(unpacked: DataFrame) -> DataFrame:
     return unpacked.where(F.col("parts").isNull()).select(
         CONFIG, SPLIT, "col", F.inline("members")
     )
+
+
+def uniform_batches(cells: DataFrame, chunk_size: int = 100) -> DataFrame:
+    """Per map batch: rows, and whether all of its texts are equal and not empty (nulls count as empty)."""
+    text = F.coalesce("text", F.lit(""))
+    return (
+        _in_map_batches(cells, chunk_size)
+        .groupBy(CONFIG, SPLIT, "chunk_id", "map_batch")
+        .agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            ((F.min(text) == F.max(text)) & (F.min(text) != "")).alias("uniform"),
+        )
+    )

@@ -1,0 +1,3 @@
+from tonguemill.plans.translation_run import TranslationRun
+
+__all__ = ["TranslationRun"]

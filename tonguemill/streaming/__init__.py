@@ -1,0 +1,3 @@
+from tonguemill.streaming.incremental import read_new_files, translate_stream
+
+__all__ = ["read_new_files", "translate_stream"]
