@@ -23,7 +23,8 @@ COST_ROLES = {"source": projection.SYSTEM, "text": projection.TEXT}
 TURNS_PER_CELL = 16
 SAMPLE_ROWS = 5
 CHUNK_ROWS = 100
-CHUNKS_PER_WAVE = 4
+CHUNKS_PER_FOLDER = 4
+CHUNKS_PER_WAVE = 40
 GUARD_TOKENS = 600
 TAG = "[es] "
 
@@ -109,7 +110,7 @@ def split_counts(spark, sf_dir):
 
 def chunk_stage(spark, sf_dir):
     path = scratch_path(spark, "staging")
-    sinks.stage_chunks(languages(spark, sf_dir), path, CHUNK_ROWS, chunks_per_folder=CHUNKS_PER_WAVE)
+    sinks.stage_chunks(languages(spark, sf_dir), path, CHUNK_ROWS, chunks_per_folder=CHUNKS_PER_FOLDER)
     return corpus.read_corpus(spark, path).select(CONFIG, SPLIT, "chunk_id", ROW, "doc_id", "text")
 
 
@@ -315,7 +316,7 @@ def uniform_batches(spark, sf_dir):
     return batching.uniform_batches(placed.withColumnRenamed("source", "text"), 20)
 
 
-def _translation_run(spark, sf_dir) -> TranslationRun:
+def _translation_run(spark, sf_dir, chunks_per_wave: int = CHUNKS_PER_WAVE) -> TranslationRun:
     rows = materialize(languages(spark, sf_dir), "corpus")
     return TranslationRun(
         rows,
@@ -323,7 +324,7 @@ def _translation_run(spark, sf_dir) -> TranslationRun:
         Settings(FunctionTranslator(_tag)),
         ["text"],
         chunk_size=CHUNK_ROWS,
-        chunks_per_wave=CHUNKS_PER_WAVE,
+        chunks_per_wave=chunks_per_wave,
     )
 
 
@@ -335,7 +336,7 @@ def chunk_progress(spark, sf_dir):
 
 def pending_chunks(spark, sf_dir):
     """What a run that stopped after its first wave has left to do."""
-    run = _translation_run(spark, sf_dir)
+    run = _translation_run(spark, sf_dir, chunks_per_wave=4)
     run.translate(max_waves=1)
     return progress.pending_chunks(run.chunks(), run.progress.read_run(spark, run.fingerprint))
 

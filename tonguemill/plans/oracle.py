@@ -246,7 +246,7 @@ ORACLE: dict[str, str] = {
         SELECT coalesce(lang, 'default') AS config, coalesce(source, 'train') AS split, d.doc_id, done.text,
                'translated' AS text_status FROM documents d JOIN done USING (doc_id)""",
     "token_guard": f"""WITH {_CHAR_PIECES}, guarded AS (
-            SELECT *, 51 + length(piece) // 4 > 600 AS skipped FROM slices)
+            SELECT *, 46 + length(piece) // 4 > 600 AS skipped FROM slices)
         SELECT doc_id,
                string_agg(CASE WHEN skipped THEN piece ELSE {_strip("'[es] ' || piece")} END, '' ORDER BY seg) AS text,
                CASE WHEN bool_or(skipped) THEN 'skipped_tokens' ELSE 'translated' END AS text_status

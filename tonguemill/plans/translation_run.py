@@ -24,7 +24,7 @@ from tonguemill.operators.translator import FAILED
 from tonguemill.session import materialize
 from tonguemill.sources.corpus import CONFIG, ROW, SPLIT
 from tonguemill.sources.positions import assign_chunks, plan_chunks
-from tonguemill.sources.sinks import manifest, stage_chunks, write_manifest, write_splits
+from tonguemill.sources.sinks import manifest, write_manifest, write_splits
 
 ROW_KEY = (CONFIG, SPLIT, ROW)
 
@@ -81,23 +81,30 @@ class TranslationRun:
         for start, end in self.waves():
             if max_waves is not None and worked == max_waves:
                 break
-            in_wave = (F.col(ROW) >= start) & (F.col(ROW) < end)
-            rows = self.corpus.where(in_wave)
-            state = self.progress.read_run(self.spark, self.fingerprint)
-            pending = materialize(pending_chunks(plan_chunks(rows, self.chunk_size), state), "pending")
-            if pending.isEmpty():
-                continue
-            if not state.where((F.col("row_start") >= start) & (F.col("row_start") < end)).isEmpty():
-                rows = assign_chunks(rows, self.chunk_size).join(pending.select(*CHUNK), [*CHUNK], "left_semi")
-                rows = rows.select(*self.corpus.columns)
-            self._translate_wave(rows, settings)
-            worked += 1
+            rows = self._pending_rows(start, end)
+            if rows is not None:
+                self._translate_wave(rows, settings)
+                worked += 1
         return worked
 
+    def _pending_rows(self, start: int, end: int) -> DataFrame | None:
+        """Rows of a wave that no recorded chunk covers; None if it is finished."""
+        rows = self.corpus.where((F.col(ROW) >= start) & (F.col(ROW) < end))
+        state = self.progress.read_run(self.spark, self.fingerprint)
+        done = state.where((F.col("row_start") >= start) & (F.col("row_start") < end))
+        if done.isEmpty():
+            return rows
+        pending = materialize(pending_chunks(plan_chunks(rows, self.chunk_size), done).select(*CHUNK), "pending")
+        if pending.isEmpty():
+            return None
+        left = assign_chunks(rows, self.chunk_size).join(pending, [*CHUNK], "left_semi")
+        return left.select(*self.corpus.columns)
+
     def _translate_wave(self, rows: DataFrame, settings: Settings) -> None:
         attempt = uuid.uuid4().hex
-        translated = translate_columns(rows, ROW_KEY, settings, self.roles, with_status=True)
-        stage_chunks(translated, self._staged(attempt), self.chunk_size, self.chunks_per_wave or 1_000_000_000)
+        translated = translate_columns(rows, ROW_KEY, settings, self.chosen, with_status=True)
+        # One folder per split: the wave is its unit of writing, the chunk that of progress.
+        write_splits(translated, self._staged(attempt))
         staged = self._read_staged([attempt])
         self.progress.append(chunk_progress(staged, self.chunk_size, list(self.chosen)), self.fingerprint, attempt)
 

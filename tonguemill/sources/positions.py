@@ -29,9 +29,10 @@ def _rows_before(counts: DataFrame, piece: str) -> DataFrame:
 def position_by_key(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
     """Add `row_idx`: 0, 1, 2, ... within each split in the order of `order_by`.
 
-    `order_by` must identify a row within its split. Only the key columns are sorted: they are range
-    partitioned on the whole key, so a split holding most rows still spreads over all tasks, and
-    written once. Counts per range give the offsets; the positions then join back on the key.
+    `order_by` must identify a row within its split, which is checked. Only the key columns are
+    sorted: they are range partitioned on the whole key, so a split holding most rows still spreads
+    over all tasks, and written once. Counts per range give the offsets; the positions then join back
+    on the key.
     """
     key = [*BY, *order_by]
     rank = F.monotonically_increasing_id()
@@ -42,6 +43,8 @@ def position_by_key(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
         .select(*key, F.shiftright(rank, 33).alias("_range"), rank.alias("_rank")),
         "positions",
     )
+    if not ranged.groupBy(*key).count().where("count > 1").isEmpty():
+        raise ValueError(f"{list(order_by)} do not identify a row within its split")
     counts = ranged.groupBy(*BY, "_range").agg(F.count(F.lit(1)).alias("n"), F.min("_rank").alias("_first"))
     shifts = _rows_before(counts, "_range").select(
         *BY, "_range", (F.col("n_before") - F.col("_first")).alias("_shift")
