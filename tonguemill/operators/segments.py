@@ -124,20 +124,20 @@ def _fitted(segment: Column, seg: Column, limit: int) -> Column:
 
 
 def pieces_of(text: Column | str, policy: Policy) -> Column:
-    """The pieces of a text. A long text with nothing to translate yields one empty piece."""
+    """The pieces of a text. A long text without any sentence yields one empty piece."""
     column = F.col(text) if isinstance(text, str) else text
     if policy.kind == "chars":
         slices = F.transform(
             fixed_slices(column, policy.limit), lambda s, i: _piece(i, F.lit(0), s, SLICE)
         )
         return F.when(char_length(column) <= policy.limit, _single(column, WHOLE)).otherwise(slices)
-    packed = _bind(sentences(column), lambda parts: _packed(parts, policy.limit))
-    pieces = F.flatten(F.transform(packed, lambda segment, i: _fitted(segment, i, policy.limit)))
-    return (
-        F.when(byte_length(column) <= policy.limit, _single(column, WHOLE))
-        .when(strip_text(column) == "", _single(F.lit(""), SEGMENT))
-        .otherwise(pieces)
-    )
+
+    def fitted(parts: Column) -> Column:
+        cut = F.transform(_packed(parts, policy.limit), lambda segment, i: _fitted(segment, i, policy.limit))
+        return F.when(F.size(parts) == 0, _single(F.lit(""), SEGMENT)).otherwise(F.flatten(cut))
+
+    short = byte_length(column) <= policy.limit
+    return F.when(short, _single(column, WHOLE)).otherwise(_bind(sentences(column), fitted))
 
 
 def explode_pieces(df: DataFrame, keys: Sequence[str], text: str, policy: Policy) -> DataFrame:

@@ -62,7 +62,7 @@ segs AS (
 pieces AS (
     SELECT k0, 0::BIGINT AS seg, 0::BIGINT AS sub, text AS piece, 'whole' AS cut FROM base WHERE strlen(text) <= 9900
     UNION ALL
-    SELECT k0, 0, 0, '', 'segment' FROM longs WHERE {_strip('text')} = ''
+    SELECT k0, 0, 0, '', 'segment' FROM longs WHERE k0 NOT IN (SELECT k0 FROM sents)
     UNION ALL
     SELECT k0, seg, 0, piece, 'segment' FROM segs WHERE strlen(piece) <= 9900
     UNION ALL
