@@ -1,4 +1,3 @@
-import os
 import sys
 from pathlib import Path
 
@@ -9,8 +8,6 @@ sys.path.insert(0, str(ROOT))
 
 from tonguemill.session import build_session  # noqa: E402
 
-os.environ["PYTHONPATH"] = os.pathsep.join([str(ROOT), os.environ.get("PYTHONPATH", "")])
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):

@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 import hashlib
+import sys
 from collections.abc import Callable
 from dataclasses import dataclass
 from pathlib import Path
 
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 DELIMITER = " |||TRANS-SPLIT||| "
 
 
