@@ -53,11 +53,8 @@ def group_cells(cells: DataFrame, batching: Batching = Batching()) -> DataFrame:
     )
     return (
         _in_map_batches(cells, batching.chunk_size)
-        .withColumns({
-            "_rows": F.count(F.lit(1)).over(batch),
-            "_non_null": F.count("text").over(batch),
-            "_nth": F.count(sent).over(up_to_here),
-        })
+        .withColumn("_nth", F.count(sent).over(up_to_here))  # the ordered window first: one sort serves both
+        .withColumns({"_rows": F.count(F.lit(1)).over(batch), "_non_null": F.count("text").over(batch)})
         .withColumn("_packed", (F.col("_non_null") > 1) & ~uniform)
         .where(F.col("text") != "")
         .withColumn(

@@ -68,20 +68,21 @@ def fill_memo(
     """Translate every distinct piece the memo lacks and store the replies.
 
     `pieces` has (text_hash, piece). Copies of a text meet in each task first, so a text that fills a
-    third of the corpus leaves every task once. The calls run in `concurrency` partitions, set
-    explicitly because adaptive execution would merge small ones, which also bounds the request rate.
-    With `slices` > 1 the replies are committed in that many parts: a failure repeats one part only.
+    third of the corpus leaves every task once. Grouping by the digest alone lets the memo join use the
+    same exchange. The calls run in `concurrency` partitions, set explicitly because adaptive execution
+    would merge small ones, which also bounds the request rate. With `slices` > 1 the replies are
+    committed in that many parts: a failure repeats one part only.
     """
     spark = pieces.sparkSession
     scope = scope_of(translator, policy)
     n = concurrency or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = pieces.where(F.col("piece") != "").select("text_hash", "piece").distinct()
+    wanted = pieces.where(F.col("piece") != "").groupBy("text_hash").agg(F.first("piece").alias("piece"))
     for part in range(slices):
         in_part = F.pmod(F.xxhash64("text_hash"), F.lit(slices)) == part if slices > 1 else F.lit(True)
         pending = (
             wanted.where(in_part)
-            .repartition(n, "text_hash")
             .join(memo.read(spark, scope).select("text_hash"), "text_hash", "left_anti")
+            .repartition(n, "text_hash")
             .withColumn("over_limit", over_token_limit("piece", policy))
         )
         memo.append(translate_distinct(pending, translator, policy), scope)

@@ -13,11 +13,12 @@ from tonguemill.sources.corpus import CONFIG, ROW, SPLIT
 BY = (CONFIG, SPLIT)
 
 
-def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
-    """Equi-join that also matches null keys, keeping the left side's key columns."""
-    renamed = right.withColumnsRenamed({c: f"_r_{c}" for c in on})
-    matched = [left[c].eqNullSafe(renamed[f"_r_{c}"]) for c in on]
-    return left.join(renamed, matched, how).drop(*[f"_r_{c}" for c in on])
+def _join(left: DataFrame, right: DataFrame, on: Sequence[str], nullable: Sequence[str] = ()) -> DataFrame:
+    """Inner equi-join on `on`, and on `nullable` columns where nulls match too; keeps the left's keys."""
+    renamed = right.withColumnsRenamed({c: f"_r_{c}" for c in (*on, *nullable)})
+    matched = [left[c] == renamed[f"_r_{c}"] for c in on]
+    matched += [left[c].eqNullSafe(renamed[f"_r_{c}"]) for c in nullable]
+    return left.join(renamed, matched).drop(*[f"_r_{c}" for c in (*on, *nullable)])
 
 
 def _rows_before(counts: DataFrame, piece: str) -> DataFrame:
@@ -49,10 +50,10 @@ def position_by_key(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
     shifts = _rows_before(counts, "_range").select(
         *BY, "_range", (F.col("n_before") - F.col("_first")).alias("_shift")
     )
-    positions = join_null_safe(ranged, shifts, [*BY, "_range"]).select(
+    positions = ranged.join(shifts, [*BY, "_range"]).select(
         *key, (F.col("_rank") + F.col("_shift")).alias(ROW)
     )
-    return join_null_safe(df, positions, key)
+    return _join(df, positions, BY, order_by)
 
 
 def position_in_files(df: DataFrame) -> DataFrame:
@@ -66,7 +67,7 @@ def position_in_files(df: DataFrame) -> DataFrame:
     counts = at.groupBy(*BY, "_file").agg(F.count(F.lit(1)).alias("n"))
     files = materialize(_rows_before(counts, "_file").drop("n"), "files")
     return (
-        join_null_safe(at, files, [*BY, "_file"])
+        _join(at, files, [*BY, "_file"])
         .withColumn(ROW, F.col("_index") + F.col("n_before"))
         .drop("_file", "_index", "n_before")
     )
