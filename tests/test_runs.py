@@ -90,6 +90,22 @@ def test_other_settings_are_refused(corpus, tmp_path, translator):
             start(corpus, tmp_path, **changed).translate()
 
 
+def test_resume_takes_the_recorded_settings(corpus, tmp_path, translator):
+    start(corpus, tmp_path, translator, chunk_size=4).translate(max_waves=1)
+    again = TranslationRun.resume(corpus, str(tmp_path / "run"), translator)
+    assert (again.chunk_size, again.chosen, again.settings.policy) == (4, {"text": "text"}, bytes_policy())
+    assert contents(again.run()) == WHOLE
+    assert translator.calls() == 26
+    with pytest.raises(ValueError, match="another service"):
+        TranslationRun.resume(corpus, str(tmp_path / "run"), replace(translator, model="other"))
+
+
+def test_smoke_run(corpus, tmp_path, translator):
+    run = TranslationRun.smoke(corpus, str(tmp_path / "smoke"), Settings(translator), ["text"])
+    assert contents(run.run()) == [w for w in WHOLE if w[1] < 10]
+    assert run.progress.read(corpus.sparkSession).count() == 3
+
+
 def test_new_files_are_translated_once(spark, tmp_path, translator):
     source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "check"))
 

@@ -199,9 +199,10 @@ def extrapolate_cost(
     in_sample = F.least(F.col("n_rows"), F.lit(sample))
     sizes = split_counts(df)
     if mode == "reference":
-        # Two one-row tables side by side.
         rows = sizes.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"))
-        costs = price(cost_counters(sampled, roles, tokens), prices).crossJoin(rows)
+        # Each side is one row; the maximum over both puts them side by side.
+        both = cost_counters(sampled, roles, tokens).unionByName(rows, allowMissingColumns=True)
+        costs = price(both.agg(*[F.max(c).alias(c) for c in both.columns]), prices)
         factor = F.when(F.col("n_rows") > sample, F.col("n_rows") / F.lit(sample)).otherwise(1.0)
         costs = costs.withColumn("factor", factor).withColumns({
             "aws_cost": F.col("aws_cost") * F.col("factor"),

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import asdict, dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tonguemill.operators.batching import Batching
 from tonguemill.operators.memo import Memo
 from tonguemill.operators.progress import (
     CHUNK,
@@ -19,14 +21,22 @@ from tonguemill.operators.progress import (
     split_progress,
 )
 from tonguemill.operators.projection import Roles, translation_roles
+from tonguemill.operators.sampling import smoke_rows
+from tonguemill.operators.segments import Policy
 from tonguemill.operators.translate import Settings, translate_columns
-from tonguemill.operators.translator import FAILED
+from tonguemill.operators.translator import FAILED, Translator
 from tonguemill.session import materialize
 from tonguemill.sources.corpus import CONFIG, ROW, SPLIT
 from tonguemill.sources.positions import assign_chunks, plan_chunks
 from tonguemill.sources.sinks import manifest, write_manifest, write_splits
 
 ROW_KEY = (CONFIG, SPLIT, ROW)
+# Fixed value: chunk size of a smoke test.
+SMOKE_CHUNK = 5
+RECORD = (
+    "provider string, model string, source string, target string, roles string, policy string, "
+    "batching string, null_conversation string, chunk_size bigint, fingerprint string"
+)
 
 
 @dataclass(frozen=True)
@@ -46,6 +56,42 @@ class TranslationRun:
     chunk_size: int = 100
     chunks_per_wave: int | None = None
 
+    @classmethod
+    def smoke(cls, corpus: DataFrame, work_dir: str, settings: Settings, roles=None) -> TranslationRun:
+        """A run over at most ten rows of each split of the first config, in chunks of five."""
+        return cls(smoke_rows(corpus), work_dir, settings, roles, SMOKE_CHUNK)
+
+    @classmethod
+    def resume(cls, corpus: DataFrame, work_dir: str, translator: Translator, **waves) -> TranslationRun:
+        """Go on with the columns, policy, packing and chunk size the run in `work_dir` was started with."""
+        record = cls.recorded(corpus.sparkSession, work_dir)
+        service = (translator.provider, translator.model, translator.source, translator.target)
+        if service != (record["provider"], record["model"], record["source"], record["target"]):
+            raise ValueError("the run was started with another service, model or language")
+        batching = json.loads(record["batching"])
+        settings = Settings(
+            translator,
+            Policy(**json.loads(record["policy"])),
+            batching=batching and Batching(**batching),
+            null_conversation=record["null_conversation"],
+        )
+        return cls(corpus, work_dir, settings, json.loads(record["roles"]), record["chunk_size"], **waves)
+
+    @staticmethod
+    def recorded(spark: SparkSession, work_dir: str) -> dict:
+        """What a run was started with."""
+        return spark.read.schema(RECORD).json(f"{work_dir}/settings").first().asDict()
+
+    def _record(self) -> None:
+        settings, translator = self.settings, self.settings.translator
+        batching = asdict(settings.batching) if settings.batching else None
+        row = (
+            translator.provider, translator.model, translator.source, translator.target, json.dumps(self.chosen),
+            json.dumps(asdict(settings.policy)), json.dumps(batching), settings.null_conversation, self.chunk_size,
+            self.fingerprint,
+        )
+        self.spark.createDataFrame([row], RECORD).write.mode("overwrite").json(f"{self.work_dir}/settings")
+
     @property
     def spark(self) -> SparkSession:
         return self.corpus.sparkSession
@@ -77,6 +123,8 @@ class TranslationRun:
         settings = self.settings
         if settings.memo is None:
             settings = replace(settings, memo=Memo(f"{self.work_dir}/memo"))
+        if self.progress.read_run(self.spark, self.fingerprint).isEmpty():
+            self._record()
         worked = 0
         for start, end in self.waves():
             if max_waves is not None and worked == max_waves:
