@@ -10,7 +10,7 @@ from tonguemill.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = build_session(
         "tests",
         master="local[8]",
@@ -18,7 +18,6 @@ def spark(tmp_path_factory):
             "spark.sql.shuffle.partitions": "8",
             "spark.driver.memory": "6g",
             "spark.ui.enabled": "false",
-            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -1,4 +1,5 @@
 from dataclasses import replace
+from pathlib import Path
 
 import pytest
 from fakes import Fake, tag
@@ -6,6 +7,7 @@ from fakes import Fake, tag
 from tonguemill.operators.segments import bytes_policy
 from tonguemill.operators.translate import Settings
 from tonguemill.plans import TranslationRun
+from tonguemill.session import materialize, scratch_area, scratch_path
 from tonguemill.streaming import read_new_files, translate_stream
 
 TEXTS = [f"text {i}" for i in range(23)]
@@ -100,6 +102,14 @@ def test_resume_takes_the_recorded_settings(corpus, tmp_path, translator):
         TranslationRun.resume(corpus, str(tmp_path / "run"), replace(translator, model="other"))
 
 
+def test_scratch_tables_end_with_their_area(spark):
+    with scratch_area(spark) as area:
+        assert materialize(spark.range(3)).count() == 3
+        assert Path(area).exists()
+    assert not Path(area).exists()
+    assert not scratch_path(spark, "t").startswith(area)
+
+
 def test_smoke_run(corpus, tmp_path, translator):
     run = TranslationRun.smoke(corpus, str(tmp_path / "smoke"), Settings(translator), ["text"])
     assert contents(run.run()) == [w for w in WHOLE if w[1] < 10]

@@ -25,7 +25,7 @@ from tonguemill.operators.sampling import smoke_rows
 from tonguemill.operators.segments import Policy
 from tonguemill.operators.translate import Settings, translate_columns
 from tonguemill.operators.translator import FAILED, Translator
-from tonguemill.session import materialize
+from tonguemill.session import materialize, remove, scratch_area
 from tonguemill.sources.corpus import CONFIG, ROW, SPLIT
 from tonguemill.sources.positions import assign_chunks, plan_chunks
 from tonguemill.sources.sinks import manifest, write_manifest, write_splits
@@ -129,10 +129,11 @@ class TranslationRun:
         for start, end in self.waves():
             if max_waves is not None and worked == max_waves:
                 break
-            rows = self._pending_rows(start, end)
-            if rows is not None:
-                self._translate_wave(rows, settings)
-                worked += 1
+            with scratch_area(self.spark):
+                rows = self._pending_rows(start, end)
+                if rows is not None:
+                    self._translate_wave(rows, settings)
+                    worked += 1
         return worked
 
     def _pending_rows(self, start: int, end: int) -> DataFrame | None:
@@ -208,5 +209,4 @@ class TranslationRun:
         """Delete the staged chunks. Call it once `finalize` has written every split."""
         if not self.split_progress().where("NOT complete").isEmpty():
             raise ValueError("some splits are not complete; their chunks are still needed")
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.work_dir}/staging")
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        remove(self.spark, f"{self.work_dir}/staging")

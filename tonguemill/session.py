@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,8 +47,30 @@ def scratch_root(spark: SparkSession) -> str:
     return folder
 
 
+_area: ContextVar[str | None] = ContextVar("scratch area", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/tonguemill/{uuid.uuid4().hex}/{name}"
+    area = _area.get() or f"{scratch_root(spark)}/tonguemill"
+    return f"{area}/{uuid.uuid4().hex}/{name}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scratch_area(spark: SparkSession) -> Iterator[str]:
+    """Tables materialized inside are deleted at the end, when their results have been stored elsewhere."""
+    area = f"{scratch_root(spark)}/tonguemill/{uuid.uuid4().hex}"
+    token = _area.set(area)
+    try:
+        yield area
+    finally:
+        _area.reset(token)
+        remove(spark, area)
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tonguemill.operators.memo import Memo
 from tonguemill.operators.projection import Roles
 from tonguemill.operators.translate import Settings, translate_columns
+from tonguemill.session import scratch_area
 
 
 def read_new_files(
@@ -43,8 +44,9 @@ def translate_stream(
         settings = replace(settings, memo=Memo(f"{checkpoint}/memo"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        translated = translate_columns(batch, keys, settings, roles, with_status=True)
-        translated.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        with scratch_area(batch.sparkSession):
+            translated = translate_columns(batch, keys, settings, roles, with_status=True)
+            translated.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     return (
         stream.writeStream.foreachBatch(write)
