@@ -18,6 +18,8 @@ def spark():
             "spark.sql.shuffle.partitions": "8",
             "spark.driver.memory": "6g",
             "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.python.sql.dataFrameDebugging.enabled": "false",
         },
     )
     session.sparkContext.setLogLevel("ERROR")

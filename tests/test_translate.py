@@ -145,6 +145,13 @@ def test_the_memo_is_kept_between_runs_and_per_service(spark, fake, tmp_path):
     assert other.calls() == 4
 
 
+def test_two_results_that_share_a_memo_can_meet_in_one_query(spark, fake, tmp_path):
+    settings = Settings(fake(), memo=Memo(str(tmp_path / "memo")))
+    parts = [translate_columns(corpus(spark, [t], split=t), ROW_KEY, settings, ["text"]) for t in ("a", "b", "c")]
+    together = parts[0].union(parts[1]).union(parts[2])
+    assert sorted(r.text for r in together.collect()) == ["[es] a", "[es] b", "[es] c"]
+
+
 def test_failed_replies_are_remembered(spark, fake, tmp_path):
     memo, translator = Memo(str(tmp_path / "memo")), fake(bad="a")
     for _ in range(2):
@@ -298,7 +305,19 @@ def test_a_failed_packed_request_returns_its_stripped_texts(spark, fake):
     assert got == [("a", "failed"), ("b", "failed")]
 
 
-def test_packing_saves_calls_and_needs_positions(spark, fake):
+def test_packing_leaves_conversations_alone(spark, fake):
+    df = corpus(spark, ["a", "b", None]).withColumns({
+        "conversations": F.lit("[{'value': 'c'}]"), "system": F.lit("s"),
+    })
+    translator = fake(reply=tag_each)
+    rows = translate_columns(df, ROW_KEY, Settings(translator, batching=Batching())).orderBy("row_idx").collect()
+    assert [tuple(r)[3:] for r in rows] == [
+        (t, "[{'value': '[es] c'}]", "[es] s") for t in ("[es] a", "[es] b", None)
+    ]
+    assert translator.calls() == 3  # a and b at once, c, s
+
+
+def test_packing_needs_positions(spark, fake):
     df = as_corpus(spark.createDataFrame([(1, "a")], "id int, text string"))
     with pytest.raises(ValueError, match="row_idx"):
         translate_columns(df, ["id"], Settings(FunctionTranslator(tag), batching=Batching()), ["text"])

@@ -43,10 +43,6 @@ def word_count(c: Column | str) -> Column:
     return F.size(words(c)).cast("bigint")
 
 
-def is_blank(c: Column | str) -> Column:
-    return strip_text(c) == ""
-
-
 def split_literal(c: Column | str, separator: str) -> Column:
     """Split on a literal separator, keeping empty parts."""
     return F.split(_col(c), r"\Q" + separator + r"\E", -1)

@@ -7,6 +7,7 @@ from tonguemill.operators.cost import (
     price,
     split_counters,
     unique_prompts,
+    value_tokens,
     verdict,
 )
 from tonguemill.operators.memo import Memo, fill_memo, hot_texts, look_up
@@ -32,5 +33,5 @@ __all__ = [
     "non_null_values", "pack_groups", "pending_chunks", "price", "rejoin_pieces", "role_counts", "select_columns",
     "smoke_rows", "split_counters", "split_progress", "stringify", "translatable", "translate_cells",
     "translate_columns", "translate_packed", "translation_roles", "uniform_batches", "unique_prompts",
-    "unpack_replies", "verdict",
+    "unpack_replies", "value_tokens", "verdict",
 ]

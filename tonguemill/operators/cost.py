@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tonguemill.functions.literals import conversation_value_chars, py_str
+from tonguemill.functions.literals import conversation_value_chars, conversation_values, py_str
 from tonguemill.functions.text import char_length, text_digest
 from tonguemill.functions.tokens import Tokenizer, tokenizer
 from tonguemill.operators.projection import CONVERSATION, SYSTEM, Roles, cost_roles
@@ -137,6 +137,15 @@ def unique_prompts(df: DataFrame, roles=None) -> DataFrame:
     return _per_prompt(cells).agg(*_counters(F.lit(True))).select("system_unique_prompts", "system_unique_chars")
 
 
+def value_tokens(df: DataFrame, keys, column: str, tokens: str | Tokenizer = "words075") -> DataFrame:
+    """Tokens of a conversation's values alone, per row; `total_tokens` counts the whole string instead.
+
+    `keys` identify a row, so a group is the turns of one conversation.
+    """
+    turns = df.select(*keys, F.inline(conversation_values(column)))
+    return turns.groupBy(*keys).agg(F.sum(tokenizer(tokens)("value")).alias("value_tokens"))
+
+
 def price(counters: DataFrame, prices: Prices = Prices()) -> DataFrame:
     """Add billable characters and the cost under both services."""
     million = F.lit(1_000_000.0)

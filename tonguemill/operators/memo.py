@@ -3,19 +3,18 @@
 from __future__ import annotations
 
 import hashlib
+import re
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tonguemill.functions.text import text_digest
 from tonguemill.operators.segments import Policy
 from tonguemill.operators.translator import REPLY_SCHEMA, Translator, over_token_limit, translate_distinct
-from tonguemill.session import materialize, scratch_path
-
-SCHEMA = f"{REPLY_SCHEMA}, scope string"
+from tonguemill.session import committed_folders, materialize, scratch_path
 
 # A text is hot when it takes more than this share of all lookups, so at most 1/share texts are.
 HOT_SHARE = 0.001
@@ -25,7 +24,11 @@ HOT_MIN_ROWS = 100_000
 
 @dataclass(frozen=True)
 class Memo:
-    """A Parquet table of replies, a folder per scope. Failed replies are kept like any other."""
+    """Parquet replies, a folder per scope and append, for one writer at a time.
+
+    Failed replies are kept like any other. Services share replies only under the same provider,
+    languages, model and policy, so give each service its own provider name.
+    """
 
     path: str
 
@@ -34,23 +37,27 @@ class Memo:
         return cls(scratch_path(spark, "memo"))
 
     def read(self, spark: SparkSession, scope: str) -> DataFrame:
-        try:
-            stored = spark.read.schema(SCHEMA).parquet(self.path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        """Replies committed so far.
+
+        Every append has a folder of its own, and the folders are named in the scan. Spark takes two
+        scans of one root path for the same table, even when files were added between them, and would
+        answer both from the older one if they meet in one query.
+        """
+        commits = committed_folders(spark, f"{self.path}/scope={scope}/commit=*")
+        if not commits:
             return spark.createDataFrame([], REPLY_SCHEMA)
-        return stored.where(F.col("scope") == scope).drop("scope")
+        return spark.read.schema(REPLY_SCHEMA).parquet(*commits)
 
     def append(self, replies: DataFrame, scope: str) -> None:
-        replies.withColumn("scope", F.lit(scope)).write.mode("append").partitionBy("scope").parquet(self.path)
+        replies.write.mode("error").parquet(f"{self.path}/scope={scope}/commit={uuid.uuid4().hex}")
 
 
 def scope_of(translator: Translator, policy: Policy) -> str:
     """Everything besides the text that decides a reply: service, languages, model, cutting policy."""
     service = (translator.provider, translator.source, translator.target, translator.model)
     digest = hashlib.sha256(repr((service, policy.fingerprint)).encode()).hexdigest()
-    return "-".join([*service[:3], digest[:16]])
+    readable = re.sub(r"[^A-Za-z0-9]+", "_", "-".join(service[:3]))
+    return f"{readable}-{digest[:16]}"
 
 
 def with_digest(pieces: DataFrame) -> DataFrame:

@@ -217,6 +217,10 @@ def cost_conversation_chars(spark, sf_dir):
     return counters.select("total_chars", "conversation_chars")
 
 
+def conv_value_tokens(spark, sf_dir):
+    return cost.value_tokens(conversation_cells(spark, sf_dir), ["conv_id", "part"], "conversations")
+
+
 def cost_tokens(spark, sf_dir):
     """Token counters with the text as plain text and as (unreadable) conversations."""
     docs = documents(spark, sf_dir)
@@ -360,8 +364,8 @@ QUERIES: dict[str, Query] = {
         corpus_scan, config_select, split_list, column_list, split_counts, chunk_stage, manifest,
         column_select, non_null_values, translatable_rows, stringify_values, chunk_assign, role_counts,
         text_lengths, token_counts, conv_value_chars, strip_text, sentence_split, byte_segments, char_slices,
-        segment_rejoin, cost_chars, cost_system_unique, cost_conversation_chars, cost_tokens, cost_estimate,
-        cost_verdict, cost_by_split, cost_extrapolated, sample_first_n, memo_join, translate_text_column,
+        segment_rejoin, cost_chars, cost_system_unique, cost_conversation_chars, conv_value_tokens, cost_tokens,
+        cost_estimate, cost_verdict, cost_by_split, cost_extrapolated, sample_first_n, memo_join, translate_text_column,
         token_guard, translate_conversation, batch_groups, batch_roundtrip, uniform_batches, chunk_progress,
         pending_chunks, finalize_split, incremental_translate,
     )

@@ -188,6 +188,9 @@ ORACLE: dict[str, str] = {
                (length(text) // 4)::BIGINT AS chars4 FROM documents""",
     "conv_value_chars": """
         SELECT conv_id, turn // 16 AS part, sum(length(text))::BIGINT AS value_chars FROM conversations GROUP BY 1, 2""",
+    "conv_value_tokens": f"""
+        SELECT conv_id, turn // 16 AS part, sum({_words('text')} * 4 // 3)::BIGINT AS value_tokens
+        FROM conversations WHERE text <> '' GROUP BY 1, 2""",
     "strip_text": f"""
         SELECT doc_id, (unnest(range(1, len(parts) + 1)) - 1)::BIGINT AS k, {_strip('unnest(parts)')} AS stripped
         FROM (SELECT doc_id, string_split(text, '.') AS parts FROM documents)""",

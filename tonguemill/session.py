@@ -55,6 +55,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{area}/{uuid.uuid4().hex}/{name}"
 
 
+def committed_folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Folders matching a glob whose write was committed, in order of name."""
+    marks = spark._jvm.org.apache.hadoop.fs.Path(f"{pattern}/_SUCCESS")
+    found = marks.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(marks)
+    return sorted(mark.getPath().getParent().toString() for mark in found or [])
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder on whatever file system it is."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
