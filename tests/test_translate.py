@@ -176,9 +176,9 @@ def test_hot_texts_are_spread_and_the_result_is_the_same(spark, fake):
     hot = {r.n_salts for r in memos.hot_texts(index, 0.01, 1).collect()}
     assert hot == {34, 9}  # 200 and 50 lookups in parts of at most 6
     assert memos.hot_texts(index, 0.5, 1) is None
-    replies = spark.createDataFrame([(memos_hash, "x", "translated") for memos_hash in
-                                     {r.text_hash for r in index.select("text_hash").collect()}],
-                                    "text_hash string, translated string, status string")
+    replies = index.select("text_hash").distinct().withColumns({
+        "translated": F.lit("x"), "status": F.lit("translated"),
+    })
     joined = memos.look_up(index, replies, ROW_KEY, memos.hot_texts(index, 0.01, 1))
     assert joined.count() == 650 and joined.where("translated IS NULL").count() == 0
 

@@ -64,5 +64,5 @@ def fixed_slices(c: Column | str, width: int) -> Column:
 
 
 def text_digest(c: Column | str) -> Column:
-    """Identity of a text. Shuffling this instead of the text keeps exchanges narrow."""
-    return F.sha2(_col(c), 256)
+    """Identity of a text in 32 bytes. Shuffling this instead of the text keeps exchanges narrow."""
+    return F.unhex(F.sha2(_col(c), 256))

@@ -44,7 +44,7 @@ CONVERSATION_INPUT_SHARE = 0.33
 def _measure(value: Column, role: str, count_tokens: Tokenizer) -> Column:
     """The numbers of one cell, with the digest that identifies a system prompt."""
     chars, tokens, zero = char_length(value), count_tokens(value), F.lit(0).cast("bigint")
-    digest = F.lit(None).cast("string")
+    digest = F.lit(None).cast("binary")
     system_chars = conversation_chars = other_chars = system_tokens = plain_tokens = turn_tokens = zero
     if role == SYSTEM:
         digest, system_chars, system_tokens = text_digest(value), chars, tokens

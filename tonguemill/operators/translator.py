@@ -16,7 +16,7 @@ from tonguemill.operators.segments import Policy
 
 TRANSLATED, FAILED, SKIPPED_TOKENS, UNCHANGED = "translated", "failed", "skipped_tokens", "unchanged"
 
-REPLY_SCHEMA = "text_hash string, translated string, status string, attempts int"
+REPLY_SCHEMA = "text_hash binary, translated string, status string, attempts int"
 
 
 class Translator(Protocol):
