@@ -176,12 +176,15 @@ class TranslationRun:
 
     def finalize(self) -> DataFrame:
         """Write every complete split, the failures and the manifest; returns the written rows."""
-        ready = materialize(self.split_progress().where("complete").select(CONFIG, SPLIT), "ready")
+        splits = materialize(self.split_progress().select(CONFIG, SPLIT, "complete"), "splits")
+        ready = splits.where("complete")
         if ready.isEmpty():
             raise ValueError("no split is complete")
         state = self.progress.read_run(self.spark, self.fingerprint)
         attempts = [r.attempt for r in state.select("attempt").distinct().collect()]  # one per wave
-        staged = self._read_staged(attempts).join(ready, [CONFIG, SPLIT], "left_semi")
+        staged = self._read_staged(attempts)
+        if not splits.where("NOT complete").isEmpty():
+            staged = staged.join(ready, [CONFIG, SPLIT], "left_semi")
         write_splits(staged.select(*self.corpus.columns), f"{self.work_dir}/data")
         self._failures(staged).write.mode("overwrite").parquet(f"{self.work_dir}/failed")
         written = self.output()
