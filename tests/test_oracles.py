@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as contract
 
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLE = contract.QUERIES, contract.ORACLE
 
 
 @pytest.fixture(scope="module")
