@@ -139,14 +139,14 @@ def cuts(docs: DataFrame, rate: float = RATE) -> dict[str, int]:
     """
     tests = docs.select(F.explode(_tokens(F.coalesce("text", F.lit(""))).getField("test")).alias("t")).select("t.*")
     tests = tests.groupBy("stratum", "bin").count()
-    at = tests.groupBy("stratum").pivot("bin", list(range(BINS))).agg(F.first("count")).na.fill(0)
-    number = lambda low: sum((F.col(str(b)) for b in range(low, BINS)), F.lit(0))
-    random = F.least(number(0), 2 * number(BINS // 2))
-    cut = F.lit(BINS)
-    for low in reversed(range(BINS)):
-        false = number(low) - random * (BINS - low) / BINS
-        cut = F.when((number(low) > 0) & (false <= rate * number(low)), F.lit(low)).otherwise(cut)
-    return {r["stratum"]: r["cut"] for r in at.select("stratum", cut.alias("cut")).filter(F.col("cut") < BINS).collect()}
+    bins = tests.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("bin", "count"))).alias("n"))
+    bins = bins.select("stratum", F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda b: F.coalesce(F.col("n")[b], F.lit(0))).alias("n"))
+    number = lambda low: F.aggregate(F.slice("n", low + 1, BINS), F.lit(0).cast("long"), lambda a, x: a + x)
+    random = F.least(number(F.lit(0)), 2 * number(F.lit(BINS // 2)))
+    fits = lambda low: (number(low) > 0) & (number(low) - F.col("random") * (BINS - low) / BINS <= rate * number(low))
+    bins = bins.withColumn("random", random)
+    cut = F.array_min(F.filter(F.sequence(F.lit(0), F.lit(BINS - 1)), fits))
+    return {r["stratum"]: r["cut"] for r in bins.select("stratum", cut.alias("cut")).filter("cut is not null").collect()}
 
 
 def secret_spans(text: Column, cut: dict[str, int]) -> Column:
