@@ -66,11 +66,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op6_exact_top_k": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, x -> floor(x::DOUBLE * 256)::BIGINT) AS e FROM embeddings
-            WHERE len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+            SELECT vec_id, [floor(x::DOUBLE * 256)::BIGINT for x in embedding] AS e FROM embeddings
+            WHERE len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
         ), pairs AS (
             SELECT q.vec_id AS query_id, c.vec_id,
-                   list_sum(list_transform(list_zip(q.e, c.e), z -> z[1] * z[2]))::BIGINT AS score
+                   list_sum([z[1] * z[2] for z in list_zip(q.e, c.e)])::BIGINT AS score
             FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
         ), ranked AS (
             SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM pairs

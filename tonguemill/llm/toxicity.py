@@ -2,7 +2,8 @@
 
 Texts are folded first: case, accents, letters of other scripts that look Latin, and digits or signs that stand for letters.
 The lexicon is learned from labelled rows: words and beginnings of words (so that inflected forms count) that
-stand in toxic documents far more often than chance allows; their weight is the smoothed log-odds.  Exceptions are pairs of
+stand in toxic documents far more often than chance allows, first counted by documents and then by different surroundings, so
+that copies of a toxic document do not bring in all of its words; the weight is the smoothed log-odds.  Exceptions are pairs of
 words round a lexicon entry that clean documents use.  A document's weights, divided by a power of its length, go
 through a logistic curve; power and curve are fitted on the labelled rows.
 """
@@ -12,6 +13,7 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -22,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tonguemill.session import materialize
+
 # --- folding -------------------------------------------------------------------------------------------------------
 
 #: Letters of other scripts and forms that look like Latin letters.
@@ -158,29 +162,60 @@ def _counts(labelled: DataFrame, features, schema: str = "entry string, toxic lo
     return counts.groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
+def _strongest(counts: DataFrame, sizes, base: float, tried: int, how: Learning) -> DataFrame:
+    """entry and weight of what is counted with toxic rows beyond chance: twice the log-likelihood gained over the base rate
+    exceeds what the best of so many tried would reach by chance."""
+    t, c = F.col("toxic").cast("double"), F.col("clean").cast("double")
+    rate = t / (t + c)
+    gain = 2 * (t * F.log(rate / base) + F.when(c > 0, c * F.log((1 - rate) / (1 - base))).otherwise(0.0))
+    odds = F.log((t + 0.5) / (sizes["toxic"] + 1)) - F.log((c + 0.5) / (sizes["clean"] + 1))
+    scored = counts.filter(F.col("toxic") >= how.least).select("entry", gain.alias("gain"), odds.alias("weight"), rate.alias("rate"))
+    scored = scored.filter((F.col("gain") >= 2 * math.log(max(2, tried) / how.chance)) & (F.col("rate") > 0.5))
+    return scored.orderBy(F.desc("gain"), "entry").limit(how.entries)
+
+
+def _surroundings(labelled: DataFrame, entries: list[str]) -> DataFrame:
+    """entry, toxic and clean: the different pairs of neighbours it has in toxic and in clean rows."""
+    known = frozenset(entries)
+    lengths = sorted({len(e) - 1 for e in known if not e.endswith(" ")})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: set[tuple[str, int, int]] = set()
+            for text, toxic in zip(batch.column(0), batch.column(1).to_pylist()):
+                words = words_of(text.as_py())
+                for i, w in enumerate(words):
+                    mine = [e for e in (f" {w} ", *(f" {w[:n]}" for n in lengths if len(w) > n)) if e in known]
+                    if mine:
+                        near = zlib.crc32(" ".join(words[max(0, i - 1) : i] + ["|"] + words[i + 1 : i + 2]).encode())
+                        found.update((e, near, toxic) for e in mine)
+            columns = list(zip(*found)) or [(), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, (pa.string(), pa.int64(), pa.int32()))], names=["entry", "near", "toxic"])
+
+    places = labelled.select("text", "toxic").mapInArrow(run, "entry string, near long, toxic int")
+    places = places.groupBy("entry", "near").agg(F.max("toxic").alias("toxic"), (1 - F.min("toxic")).alias("clean"))
+    return places.groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+
+
 def learn(labelled: DataFrame, how: Learning = Learning()) -> Lexicon:
     """A lexicon from rows of `text` and `toxic` (0 or 1); without rows of both kinds it is empty.
 
     All labelled rows are counted.  What reaches the driver is the lexicon, at most `entries` long, and the strengths and
     lengths of at most `sample` rows for the curve.
     """
-    labelled = labelled.select(F.coalesce("text", F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic"))
+    labelled = materialize(labelled.select(F.coalesce("text", F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic")), "labelled")
     sizes = labelled.agg(F.count_if(F.col("toxic") == 1).alias("toxic"), F.count_if(F.col("toxic") == 0).alias("clean")).first()
     if not sizes["toxic"] or not sizes["clean"]:
         return Lexicon(intercept=-2.0 if not sizes["toxic"] else 0.0)
     base = sizes["toxic"] / (sizes["toxic"] + sizes["clean"])
     stems = how.stems
-    counts = _counts(labelled, lambda text: _features(text, stems)).filter(F.col("toxic") >= how.least)
-    t, c = F.col("toxic").cast("double"), F.col("clean").cast("double")
-    rate = t / (t + c)
-    # Twice the log-likelihood gained over the rate of all labelled rows; an entry must gain more than the best of so many by chance.
-    gain = 2 * (t * F.log(rate / base) + F.when(c > 0, c * F.log((1 - rate) / (1 - base))).otherwise(0.0))
-    odds = F.log((t + 0.5) / (sizes["toxic"] + 1)) - F.log((c + 0.5) / (sizes["clean"] + 1))
-    scored = counts.select("entry", gain.alias("gain"), odds.alias("weight"), rate.alias("rate"))
-    tried = counts.count()
-    least_gain = 2 * math.log(max(2, tried) / how.chance)
-    best = scored.filter((F.col("gain") >= least_gain) & (F.col("rate") > 0.5)).orderBy(F.desc("gain"), "entry").limit(how.entries).collect()
-    lexicon = Lexicon({r["entry"]: r["weight"] for r in best})
+    by_document = _counts(labelled, lambda text: _features(text, stems)).filter(F.col("toxic") >= how.least)
+    tried = by_document.count()
+    candidates = [r["entry"] for r in _strongest(by_document, sizes, base, tried, how).collect()]
+    lexicon = Lexicon()
+    if candidates:
+        by_place = _strongest(_surroundings(labelled, candidates), sizes, base, tried, how)
+        lexicon.weights = {r["entry"]: r["weight"] for r in by_place.collect()}
     if not lexicon.weights:
         lexicon.intercept = math.log(base / (1 - base))
         return lexicon
@@ -218,7 +253,7 @@ def _cached(lexicon: Lexicon) -> Matcher:
 
 
 def _fit(labelled: DataFrame, lexicon: Lexicon, how: Learning) -> Lexicon:
-    """Power and logistic curve on at most `sample` labelled rows, chosen by a hash of their text."""
+    """Power and logistic curve on about `sample` labelled rows, chosen by a hash of their text."""
 
     def strengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = lexicon.matcher()
@@ -228,7 +263,8 @@ def _fit(labelled: DataFrame, lexicon: Lexicon, how: Learning) -> Lexicon:
                 [pa.array([matcher.strength(w) for w in words], pa.float64()), pa.array(map(len, words), pa.int64()), batch.column(1)],
                 names=["strength", "n", "toxic"])
 
-    sample = labelled.orderBy(F.xxhash64("text")).limit(how.sample) if labelled.count() > how.sample else labelled
+    share = min(1.0, how.sample / max(1, labelled.count()))
+    sample = labelled.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000))
     rows = sample.select("text", "toxic").mapInArrow(strengths, "strength double, n long, toxic int").toPandas()
     y = rows["toxic"].to_numpy(float)
     best = (math.inf, 0.0, -2.0, 1.0)
@@ -240,9 +276,9 @@ def _fit(labelled: DataFrame, lexicon: Lexicon, how: Learning) -> Lexicon:
     return Lexicon(lexicon.weights, lexicon.exceptions, best[1], best[3], best[2])
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[float, float, float]:
+def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-4) -> tuple[float, float, float]:
     """Loss, intercept and slope of a logistic curve by Newton's steps; the slope is not negative."""
-    scale = max(1e-9, float(np.abs(x).max()))
+    scale = float(x[x > 0].mean()) if (x > 0).any() else 1.0
     design, beta = np.stack([np.ones_like(x), x / scale], 1), np.zeros(2)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
