@@ -209,7 +209,7 @@ def learn(labelled: DataFrame, how: Learning = Learning()) -> Lexicon:
         return Lexicon(intercept=-2.0 if not sizes["toxic"] else 0.0)
     base = sizes["toxic"] / (sizes["toxic"] + sizes["clean"])
     stems = how.stems
-    by_document = _counts(labelled, lambda text: _features(text, stems)).filter(F.col("toxic") >= how.least)
+    by_document = materialize(_counts(labelled, lambda text: _features(text, stems)).filter(F.col("toxic") >= how.least), "features")
     tried = by_document.count()
     candidates = [r["entry"] for r in _strongest(by_document, sizes, base, tried, how).collect()]
     lexicon = Lexicon()
@@ -306,7 +306,8 @@ def labelled_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     sure = labels.filter("toxic in (0, 1) and doc_id is not null").groupBy(F.col("doc_id").alias("id"))
     sure = sure.agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("other")).filter("toxic = other").drop("other")
     learnable = docs.filter(~held_out() & F.col("text").isNotNull()).select("doc_id", "text")
-    return learnable.join(sure, learnable.doc_id == sure.id).select("text", "toxic")
+    # Both sides may be large, so the plan is the same at every size: one shuffle of the texts that may be learned from.
+    return learnable.hint("merge").join(sure, learnable.doc_id == sure.id).select("text", "toxic")
 
 
 def score(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.7) -> DataFrame:
