@@ -9,8 +9,8 @@ pairs whose estimate is hopeless are dropped, all others are confirmed on the fu
 The pivot is the member that shares most buckets, which is the one nearest to what a group of copies was made from.  A bucket
 whose other members then lie in several components is open: a pair in it could still link them.  Of an open bucket
 those members leave whose shingles that nobody else has are too many for any partner of a size that is there; the
-others meet a second pivot, and so on.  What is open after some rounds is compared in pairs across components, so no pair of a
-bucket that could join two components stays untried.
+others meet a second pivot, and so on.  What is open after some rounds is compared exactly in blocks of bounded size, so no pair
+of a bucket that could join two components stays untried.
 """
 
 from __future__ import annotations
@@ -190,7 +190,31 @@ def own_shingles(texts: DataFrame, how: MinHash) -> DataFrame:
 
 
 BAND = ["band", "hash"]
-ROUNDS = 4
+ROUNDS = 2
+BLOCK = 1024
+
+
+def block_links(frame: pa.Table, percent: int) -> pa.Table:
+    """Pairs of rows (id, component, own: the set's hashes) of different components whose sets are similar enough."""
+    ids, groups = frame.column("id").to_numpy(), frame.column("component").to_numpy()
+    sets = [np.frombuffer(s, np.uint64) for s in frame.column("own").to_pylist()]
+    sizes = np.array([len(s) for s in sets], np.int64)
+    row = np.repeat(np.arange(len(sets)), sizes)
+    values, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = np.flatnonzero(times > 1)  # what one row alone has is in no intersection
+    place = np.full(len(values), -1)
+    place[shared] = np.arange(len(shared))
+    keep = place[column] >= 0
+    row, column = row[keep], place[column[keep]]
+    both = np.zeros((len(sets), len(sets)), np.float32)
+    for at in range(0, len(shared), 2000):
+        here = (column >= at) & (column < at + 2000)
+        dense = np.zeros((len(sets), min(2000, len(shared) - at)), np.float32)
+        dense[row[here], column[here] - at] = 1
+        both += dense @ dense.T
+    union = sizes[:, None] + sizes[None, :] - both
+    u, v = np.nonzero((100 * both >= percent * union) & (groups[:, None] > groups[None, :]))
+    return pa.table({"u": pa.array(ids[u], pa.int64()), "v": pa.array(ids[v], pa.int64())})
 
 
 class _Search:
@@ -278,10 +302,27 @@ class _Search:
         self.close(left.select(*BAND, "id", weight.alias("weight"), "component").distinct())
 
     def rest(self) -> None:
-        """Pairs of different components that are still in a bucket together."""
-        a = self.open.select(*BAND, F.col("id").alias("u"), F.col("component").alias("c"))
-        b = self.open.select(*BAND, F.col("id").alias("v"), F.col("component").alias("d"))
-        self.add_links(a.join(b, BAND).filter("c < d").select("u", "v"))
+        """Members of different components that are still in a bucket together, compared exactly, block by block.
+
+        A task gets the sets of at most two blocks of a bucket and returns links only, so no pairs are spelled out.
+        """
+        how = self.how
+        sizes = self.open.groupBy(*BAND).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+        placed = self.open.join(sizes, BAND).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+        placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        placed = placed.select(*BAND, "id", "component", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"))
+
+        def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                own = [shingles(t, how.shingle).tobytes() for t in batch.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.binary())], names=["i", "own"])
+
+        wanted = self.texts.join(self.open.select("id").distinct(), "id", "left_semi").select("id", "text")
+        each = materialize(wanted.mapInArrow(sets, "i long, own binary"), "sets")
+        rows = placed.join(each, F.col("id") == F.col("i")).select(*BAND, "one", "two", "id", "component", "own")
+        new = rows.groupBy(*BAND, "one", "two").applyInArrow(lambda frame: block_links(frame, how.percent), "u long, v long")
+        self.links = materialize(self.links.union(new).distinct(), "links")
+        self.component = components(self.links)
 
     def run(self) -> None:
         self.meet_pivots()
