@@ -39,7 +39,7 @@ class Repeats:
     length: int = 400
     anchor: int = 200
     bucket: int = 3000
-    most: int = 512
+    most: int = 4096
 
     @property
     def reach(self) -> int:
@@ -57,7 +57,7 @@ def _powers(base: int, n: int) -> np.ndarray:
     done = 1
     while done < n:
         more = min(done, n - done)
-        out[done : done + more] = out[:more] * (out[done - 1] * np.uint64(base))
+        out[done : done + more] = out[:more] * (out[done - 1 : done] * np.uint64(base))
         done += more
     return out
 
