@@ -207,7 +207,7 @@ def report(docs: DataFrame, benchmark: DataFrame, **how: int) -> DataFrame:
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, **how: int) -> DataFrame:
     """`docs` with its columns, without rows that hold a window of a benchmark item."""
-    found = materialize(hits_by_document(materialize(matches(docs, benchmark, **how), "matches")).select(*DOC), "hits")
-    rows = _with_key(docs)
-    clean = rows.join(found, (F.col("__doc") == F.col("doc")) & (F.col("__key") == F.col("key")), "left_anti")
-    return clean.select(*docs.columns)
+    found = hits_by_document(materialize(matches(docs, benchmark, **how), "matches"))
+    found = materialize(found.select(F.col("doc").alias("__hit_doc"), F.col("key").alias("__hit_key")), "hits")
+    same = (F.col("__doc") == F.col("__hit_doc")) & (F.col("__key") == F.col("__hit_key"))
+    return _with_key(docs).join(found, same, "left_anti").select(*docs.columns)
