@@ -110,8 +110,7 @@ def test_nulls_are_not_values_and_empty_strings_are_not_translatable(spark):
 
 
 @pytest.mark.parametrize("n", [1, 10, 4_000])
-def test_first_rows_with_and_without_positions(spark, n, monkeypatch):
-    monkeypatch.setattr(sampling, "RANKED_SAMPLE_ROWS", 100)
+def test_first_rows_with_and_without_positions(spark, n):
     df = placed(spark, {"big": 5_000, "small": 3}).repartition(6)
     want = sorted([("big", (i + 1) * 7) for i in range(n)] + [("small", (i + 1) * 7) for i in range(min(n, 3))])
     assert sorted((r.split, r.id) for r in sampling.first_rows(df, n, ["id"]).collect()) == want

@@ -105,3 +105,15 @@ def test_bpe_needs_its_vocabulary(spark):
     except Exception:
         pytest.skip("the byte-pair vocabulary is not on this machine")
     assert one(spark, ["hello world"], fn.bpe()(F.col("t"))) == [2]
+
+
+def test_special_tokens_fall_back_for_that_text_alone():
+    from tonguemill.functions.tokens import encoded_length
+
+    class Encoder:
+        def encode(self, text):
+            if "<|end|>" in text:
+                raise ValueError("special token")
+            return list(text)
+
+    assert [encoded_length(Encoder(), t) for t in ("abc", "one two <|end|>", "")] == [3, 4, 0]

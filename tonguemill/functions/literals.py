@@ -93,9 +93,23 @@ def rebuild_conversation(original: Column | str, replies: Column | str) -> Colum
     return _rebuild(_col(original), _col(replies))
 
 
+def _plain(value, kind: pa.DataType):
+    """The Python value a reader of the table would hold: maps as dicts, at any depth."""
+    if value is None:
+        return None
+    if pa.types.is_map(kind):
+        return {_plain(k, kind.key_type): _plain(v, kind.item_type) for k, v in value}
+    if pa.types.is_list(kind) or pa.types.is_large_list(kind):
+        return [_plain(v, kind.value_type) for v in value]
+    if pa.types.is_struct(kind):
+        return {f.name: _plain(value[f.name], f.type) for f in kind}
+    return value
+
+
 @F.arrow_udf(T.StringType())
 def _render(values: pa.Array) -> pa.Array:
-    return pa.array([None if v is None else str(v) for v in values.to_pylist()], pa.string())
+    plain = (_plain(v, values.type) for v in values.to_pylist())
+    return pa.array([None if v is None else str(v) for v in plain], pa.string())
 
 
 def py_str(c: Column | str, dtype: T.DataType) -> Column:

@@ -27,8 +27,18 @@ def chars4(c: Column | str) -> Column:
     return F.floor(char_length(c) / F.lit(4)).cast("bigint")
 
 
+def encoded_length(encoder, text: str) -> int:
+    try:
+        return len(encoder.encode(text))
+    except ValueError:
+        return len(text.split()) * 4 // 3
+
+
 def bpe(encoding: str = BPE_ENCODING) -> Tokenizer:
-    """Exact byte-pair counts. Needs tiktoken and its vocabulary on every worker."""
+    """Byte-pair counts. Needs tiktoken and its vocabulary on every worker.
+
+    A text that the encoder refuses (it may spell a special token) counts int(words / 0.75), and only that text.
+    """
 
     @F.pandas_udf(T.LongType())
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -36,7 +46,7 @@ def bpe(encoding: str = BPE_ENCODING) -> Tokenizer:
 
         encoder = tiktoken.get_encoding(encoding)  # once per Python worker task, not per row
         for texts in batches:
-            yield pd.Series([None if t is None else len(encoder.encode(t)) for t in texts], dtype="Int64")
+            yield pd.Series([None if t is None else encoded_length(encoder, t) for t in texts], dtype="Int64")
 
     return lambda c: count(_col(c))
 

@@ -115,12 +115,12 @@ def look_up(
 ) -> DataFrame:
     """Left join of `index` with `replies` on text_hash, spreading hot texts over several tasks.
 
-    `hot` comes from `hot_texts`, which bounds its size, so it is broadcast; rows of a hot text are
+    `hot` comes from `hot_texts`, which bounds its size; rows of a hot text are
     salted by `spread_by` and its single reply is repeated once per salt.
     """
     if hot is None:
         return index.join(replies, "text_hash", "left")
-    salts = F.broadcast(hot)
+    salts = hot  # written, so Spark knows its size
     salted = index.join(salts, "text_hash", "left").withColumn(
         "salt", F.coalesce(F.pmod(F.xxhash64(*spread_by), F.col("n_salts")), F.lit(0)).cast("int")
     )

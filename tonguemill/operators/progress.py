@@ -65,7 +65,8 @@ class ProgressTable:
             "finished_at": F.current_timestamp(),
         })
         names = [field.split()[0] for field in SCHEMA.split(", ")]
-        rows.select(*names).write.mode("append").parquet(self.path)
+        # One row per chunk of a wave, in one file: an append is seen whole or not at all.
+        rows.select(*names).coalesce(1).write.mode("append").parquet(self.path)
 
 
 def chunk_progress(translated: DataFrame, chunk_size: int, columns: Sequence[str]) -> DataFrame:

@@ -8,10 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tonguemill.sources.corpus import CONFIG, ROW, SPLIT
-from tonguemill.sources.positions import position_by_key
 
-# Above this many rows per split the sample is taken by position instead of by rank.
-RANKED_SAMPLE_ROWS = 10_000
 _FAN_IN = 64
 
 
@@ -21,19 +18,14 @@ def _ranked(df: DataFrame, n: int, order_by: Sequence[str], *extra: str) -> Data
 
 
 def first_rows(df: DataFrame, n: int, order_by: Sequence[str] = (ROW,)) -> DataFrame:
-    """The first `n` rows of each split; whole splits where they are shorter.
+    """The first `n` rows of each split in the given order; whole splits where they are shorter.
 
-    With stored positions this is a filter that Parquet statistics answer. Otherwise every task keeps
-    its own first `n` rows per split, groups of tasks merge theirs, and only those survivors meet in
-    the last ranking, so no task sees more of a large split than 64 * n rows in the end. Large samples
-    use range-partitioned positions, which have no such bound.
+    Every task keeps its own first `n` rows per split, groups of tasks merge theirs, and only those
+    survivors meet in the last ranking, so no task sees more of a large split than 64 * n rows in the end.
+    Among rows that tie at the n-th place any may be taken, but always `n` of them.
     """
     if n < 1:
         raise ValueError("a sample needs at least one row per split")
-    if ROW in df.columns:
-        return df.where(F.col(ROW) < n)
-    if n > RANKED_SAMPLE_ROWS:
-        return position_by_key(df, order_by).where(F.col(ROW) < n).drop(ROW)
     # The task number only decides which tasks merge first: any grouping yields the same rows.
     grouped = df.withColumn("_group", F.spark_partition_id() % _FAN_IN)
     return _ranked(_ranked(grouped, n, order_by, "_group").drop("_group"), n, order_by)

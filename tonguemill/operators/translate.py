@@ -60,19 +60,21 @@ def translate_cells(
 
     Only digests and positions travel with the keys; texts go through `distinct` to the translator and
     come back from the memo. The index of pieces is written before any call is made, so that calls,
-    the hot-text count and the join all see the same pieces, cut once for all of them.
+    the hot-text count and the join all see the same pieces.
     """
     spark = cells.sparkSession
     settings = settings.with_memo(spark)
     policy = settings.policy
     pieces = with_digest(explode_pieces(cells, keys, "text", policy))
-    index = materialize(pieces.drop("piece"), "pieces")
+    index = materialize(pieces.withColumn("blank", F.col("piece") == "").drop("piece"), "pieces")
     fill_memo(pieces, settings.translator, policy, settings.memo, settings.concurrency, settings.memo_slices)
     replies = settings.memo.read(spark, scope_of(settings.translator, policy)).drop("attempts")
     hot = hot_texts(index, settings.hot_share, settings.hot_min_rows)
     found = look_up(index, replies, [*keys, "seg", "sub"], hot)
-    # Only the empty piece of a blank text has no reply.
-    parts = F.collect_list(F.struct("seg", "sub", "cut", F.coalesce("translated", F.lit("")).alias("reply")))
+    # Only the empty piece of a blank text has no reply; any other that is missing must not become an empty text.
+    lost = F.raise_error(F.lit("the memo has no reply for a piece that was sent")).cast("string")
+    reply = F.when(F.col("blank"), F.coalesce("translated", F.lit(""))).otherwise(F.coalesce("translated", lost))
+    parts = F.collect_list(F.struct("seg", "sub", "cut", reply.alias("reply")))
     # The worst outcome comes first in the alphabet: failed, skipped_tokens, translated.
     status = F.coalesce(F.min("status"), F.lit(TRANSLATED))
     # Placing pieces by the row's key once serves this grouping and the caller's join back to the row.

@@ -20,7 +20,6 @@ from tonguemill.streaming.incremental import read_new_files, translate_stream
 Query = Callable[[SparkSession, str], DataFrame]
 
 COST_ROLES = {"source": projection.SYSTEM, "text": projection.TEXT}
-TURNS_PER_CELL = 16
 SAMPLE_ROWS = 5
 CHUNK_ROWS = 100
 CHUNKS_PER_FOLDER = 4
@@ -60,15 +59,11 @@ def turn_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def conversation_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversations as Python literals, at most 16 turns a cell; longer ones go on in the next cell.
-
-    The bound keeps a group small even where one conversation holds most turns.
-    """
+    """Conversations as Python literals, a whole one in each cell, as rows of a chat corpus hold them."""
     turn = F.struct("turn", F.struct(F.col("role").alias("from"), F.col("text").alias("value")).alias("said"))
     cells = (
         corpus.as_corpus(table(spark, sf_dir, "conversations"))
-        .withColumn("part", F.floor(F.col("turn") / F.lit(TURNS_PER_CELL)).cast("bigint"))
-        .groupBy(CONFIG, SPLIT, "conv_id", "part")
+        .groupBy(CONFIG, SPLIT, "conv_id")
         .agg(F.transform(F.array_sort(F.collect_list(turn)), lambda t: t["said"]).alias("conversations"))
     )
     return projection.stringify(cells, ["conversations"])
@@ -170,7 +165,7 @@ def token_counts(spark, sf_dir):
 
 def conv_value_chars(spark, sf_dir):
     chars = fn.conversation_value_chars("conversations").alias("value_chars")
-    return conversation_cells(spark, sf_dir).select("conv_id", "part", chars)
+    return conversation_cells(spark, sf_dir).select("conv_id", chars)
 
 
 def strip_text(spark, sf_dir):
@@ -218,7 +213,7 @@ def cost_conversation_chars(spark, sf_dir):
 
 
 def conv_value_tokens(spark, sf_dir):
-    return cost.value_tokens(conversation_cells(spark, sf_dir), ["conv_id", "part"], "conversations")
+    return cost.value_tokens(conversation_cells(spark, sf_dir), ["conv_id"], "conversations")
 
 
 def cost_tokens(spark, sf_dir):
@@ -297,8 +292,8 @@ def token_guard(spark, sf_dir):
 
 def translate_conversation(spark, sf_dir):
     cells = conversation_cells(spark, sf_dir)
-    done = translate_columns(cells, ["conv_id", "part"], Settings(FunctionTranslator(_tag)), ["conversations"])
-    turns = done.select("conv_id", "part", F.inline(fn.conversation_values("conversations")))
+    done = translate_columns(cells, ["conv_id"], Settings(FunctionTranslator(_tag)), ["conversations"])
+    turns = done.select("conv_id", F.inline(fn.conversation_values("conversations")))
     return turns.withColumn("pos", F.col("pos").cast("bigint"))
 
 

@@ -187,10 +187,10 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, {_words('text')}::BIGINT AS n_words, ({_words('text')} * 4 // 3)::BIGINT AS words075,
                (length(text) // 4)::BIGINT AS chars4 FROM documents""",
     "conv_value_chars": """
-        SELECT conv_id, turn // 16 AS part, sum(length(text))::BIGINT AS value_chars FROM conversations GROUP BY 1, 2""",
+        SELECT conv_id, sum(length(text))::BIGINT AS value_chars FROM conversations GROUP BY 1""",
     "conv_value_tokens": f"""
-        SELECT conv_id, turn // 16 AS part, sum({_words('text')} * 4 // 3)::BIGINT AS value_tokens
-        FROM conversations WHERE text <> '' GROUP BY 1, 2""",
+        SELECT conv_id, sum({_words('text')} * 4 // 3)::BIGINT AS value_tokens
+        FROM conversations WHERE text <> '' GROUP BY 1""",
     "strip_text": f"""
         SELECT doc_id, (unnest(range(1, len(parts) + 1)) - 1)::BIGINT AS k, {_strip('unnest(parts)')} AS stripped
         FROM (SELECT doc_id, string_split(text, '.') AS parts FROM documents)""",
@@ -256,7 +256,7 @@ ORACLE: dict[str, str] = {
         FROM guarded GROUP BY doc_id""",
     "translate_conversation": f"""WITH {_byte_pieces(
             "SELECT {'conv_id': conv_id, 'turn': turn} AS k0, text FROM conversations WHERE text <> ''")}
-        SELECT k0.conv_id AS conv_id, k0.turn // 16 AS part, k0.turn % 16 AS pos, {_rejoin(_TAGGED)} AS value
+        SELECT k0.conv_id AS conv_id, k0.turn AS pos, {_rejoin(_TAGGED)} AS value
         FROM pieces GROUP BY k0""",
     "batch_groups": f"WITH {_groups(_TURNS)} SELECT * FROM groups",
     "batch_roundtrip": f"""WITH {_groups(_TURNS)}

@@ -185,12 +185,21 @@ class TranslationRun:
         staged = self._read_staged(attempts)
         if not splits.where("NOT complete").isEmpty():
             staged = staged.join(ready, [CONFIG, SPLIT], "left_semi")
+        self._refuse_other_counts(staged, ready)
         write_splits(staged.select(*self.corpus.columns), f"{self.work_dir}/data")
         self._failures(staged).write.mode("overwrite").parquet(f"{self.work_dir}/failed")
         written = self.output()
         write_manifest(manifest(written, list(self.chosen)), f"{self.work_dir}/manifest")
         return written
 
+    def _refuse_other_counts(self, staged: DataFrame, ready: DataFrame) -> None:
+        """A split is written only with as many rows as were planned for it."""
+        planned = self.split_progress().select(CONFIG, SPLIT, "n_rows").join(ready, [CONFIG, SPLIT], "left_semi")
+        found = staged.groupBy(CONFIG, SPLIT).agg(F.count(F.lit(1)).alias("n_staged"))
+        other = planned.join(found, [CONFIG, SPLIT], "left").where(F.coalesce("n_staged", F.lit(0)) != F.col("n_rows"))
+        if not other.isEmpty():
+            raise ValueError("a finished split has other rows staged than planned")
+
     def _failures(self, staged: DataFrame) -> DataFrame:
         outcome = [
             F.struct(F.lit(c).alias("column"), F.col(f"{c}_status").alias("status")) for c in self.chosen
