@@ -268,14 +268,14 @@ class _Search:
         """Every member meets its bucket's pivot, which then leaves the bucket; closed buckets go."""
         pivots = self.open.groupBy(*BAND).agg(F.max(F.struct("weight", (-F.col("id")).alias("minus"))).alias("best"))
         pivots = pivots.select(*BAND, (-F.col("best.minus")).alias("pivot"))
+        known = "component" in self.open.columns
+        if known:  # joined to the pivots, a row per bucket, as a pivot's members may be very many
+            theirs = self.component.select(F.col("id").alias("p"), F.col("component").alias("c"))
+            pivots = pivots.join(theirs, F.col("pivot") == F.col("p"), "left").select(*BAND, "pivot", F.coalesce("c", "pivot").alias("theirs"))
         met = materialize(self.open.join(pivots, BAND), "met").filter("id <> pivot")
-        known = "component" in met.columns
-        fresh = met
-        if known:
-            theirs = self.component.select(F.col("id").alias("pivot"), F.col("component").alias("theirs"))
-            fresh = met.join(theirs, "pivot", "left").filter(F.col("component") != F.coalesce("theirs", "pivot"))
+        fresh = met.filter("component <> theirs") if known else met
         self.add_links(fresh.select(F.col("id").alias("u"), F.col("pivot").alias("v")).distinct())
-        self.close(self.with_component(met.drop("pivot")))
+        self.close(self.with_component(met.drop("pivot", "theirs")))
 
     def close(self, members: DataFrame) -> None:
         members = materialize(members, "members")
