@@ -261,7 +261,9 @@ def repeated_spans(docs: DataFrame, how: Repeats = Repeats()) -> tuple[DataFrame
     """(texts, spans): doc, key and text of every row; doc, key and the windows' starts (a to b, exclusive) that repeat."""
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")).alias("doc"), text_key("text").alias("key"), utf8("text").alias("text"))
     every = materialize(document_contexts(texts, how), "contexts")
+    # Written first: in one stage with its count, the join could not split an anchor that has very many rows.
     frequent = every.groupBy("anchor").agg(F.count("*").alias("times")).filter("times > 1").select("anchor")
+    frequent = materialize(frequent, "frequent")
     repeated = materialize(every.join(frequent, "anchor", "left_semi"), "repeated")
     one = F.min(F.struct("doc", "key", "first")).alias("one")
     kinds = repeated.groupBy("anchor", "context").agg(F.count("*").alias("times"), F.first("n").alias("n"), F.first("place").alias("place"), one)
