@@ -2,8 +2,9 @@ from dataclasses import replace
 from pathlib import Path
 
 import pytest
-from fakes import Fake, tag
+from fakes import Fake, tag, tag_each
 
+from tonguemill.operators.batching import Batching
 from tonguemill.operators.segments import bytes_policy
 from tonguemill.operators.translate import Settings
 from tonguemill.plans import TranslationRun
@@ -102,6 +103,16 @@ def test_resume_takes_the_recorded_settings(corpus, tmp_path, translator):
         TranslationRun.resume(corpus, str(tmp_path / "run"), replace(translator, model="other"))
 
 
+def test_packing_does_not_depend_on_waves(spark, tmp_path, translator):
+    rows = [("c", "a", i, f" t{i} ") for i in range(12)]
+    df = spark.createDataFrame(rows, "config string, split string, row_idx bigint, text string")
+    settings = Settings(replace(translator, reply=tag_each), batching=Batching())
+    runs = [TranslationRun(df, str(tmp_path / str(n)), settings, ["text"], 6, n) for n in (1, 2)]
+    one, two = (contents(run.run()) for run in runs)
+    assert one == two
+    assert [t for _, i, t in one if i in (5, 11)] == [tag(" t5 "), tag(" t11 ")]  # alone in their groups
+
+
 def test_scratch_tables_end_with_their_area(spark):
     with scratch_area(spark) as area:
         assert materialize(spark.range(3)).count() == 3

@@ -60,6 +60,26 @@ def test_positions_in_files_shuffle_no_rows(spark, tmp_path):
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
 
 
+def test_positions_in_files_have_no_gaps_where_rows_were_filtered(spark, tmp_path):
+    placed(spark, {"a": 50, "b": 5}).repartition(3).write.partitionBy("config", "split").parquet(str(tmp_path / "d"))
+    whole = sources.read_corpus(spark, str(tmp_path / "d"))
+    order = {(r.split, r.id): r.row_idx for r in sources.position_in_files(whole).collect()}
+    left = row_positions(sources.position_in_files(whole.where("id % 2 = 0")))
+    assert [r[1] for r in left if r[0] == "a"] == list(range(25))
+    places = [(s, order[s, i]) for s, _, i in left]
+    assert places == sorted(places)
+
+
+def test_names_in_paths_are_those_of_the_folders(spark, tmp_path):
+    names = [("a/b", "x:y"), ("50%", "a=b"), ("ä b", "[^]")]
+    df = spark.createDataFrame([(c, s, 0, "t") for c, s in names], "config string, split string, row_idx bigint, text string")
+    sources.write_splits(df, str(tmp_path / "data"))
+    listed = {r.path for r in sources.manifest(sources.read_corpus(spark, str(tmp_path / "data")), ["text"]).collect()}
+    assert listed == {str(p.relative_to(tmp_path)) for p in Path(tmp_path, "data").glob("*/*") if p.is_dir()}
+    with pytest.raises(Exception, match="without a name"):
+        sources.write_splits(df.withColumn("split", F.lit("")), str(tmp_path / "other"))
+
+
 def test_default_names(spark):
     row = as_corpus(spark.sql("SELECT 1 AS id")).first()
     assert (row.config, row.split) == ("default", "train")

@@ -317,6 +317,32 @@ def test_packing_leaves_conversations_alone(spark, fake):
     assert translator.calls() == 3  # a and b at once, c, s
 
 
+def test_packed_requests_stay_within_the_limit_of_the_policy(spark, fake):
+    texts = ["word " * 12, "other " * 10]
+    settings = Settings(fake(reply=tag_each), bytes_policy(limit=100), batching=Batching())
+    assert [t for t, _ in run(corpus(spark, texts), settings)] == [tag(t) for t in texts]
+
+
+def test_keys_are_checked_before_any_call_and_may_be_null(spark, fake):
+    translator = fake()
+    twice = spark.createDataFrame([(1, "a"), (1, "b")], "id int, text string")
+    with pytest.raises(ValueError, match="identify"):
+        translate_columns(twice, ["id"], Settings(translator), ["text"])
+    assert translator.calls() == 0
+    nulls = spark.createDataFrame([(None, "a"), (1, "b")], "id int, text string")
+    rows = translate_columns(nulls, ["id"], Settings(translator), ["text"], with_status=True).collect()
+    assert sorted((r.id or 0, r.text, r.text_status) for r in rows) == [(0, "[es] a", "translated"), (1, "[es] b", "translated")]
+
+
+def test_replies_are_found_without_success_marks(spark, fake):
+    marks = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    spark.conf.set(marks, "false")
+    try:
+        assert run(corpus(spark, ["a", "b"]), Settings(fake())) == [("[es] a", "translated"), ("[es] b", "translated")]
+    finally:
+        spark.conf.unset(marks)
+
+
 def test_packing_needs_positions(spark, fake):
     df = as_corpus(spark.createDataFrame([(1, "a")], "id int, text string"))
     with pytest.raises(ValueError, match="row_idx"):

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tonguemill.functions.text import text_digest
 from tonguemill.operators.segments import Policy
 from tonguemill.operators.translator import REPLY_SCHEMA, Translator, over_token_limit, translate_distinct
-from tonguemill.session import committed_folders, materialize, scratch_path
+from tonguemill.session import commit_folder, committed_folders, materialize, scratch_path
 
 # A text is hot when it takes more than this share of all lookups, so at most 1/share texts are.
 HOT_SHARE = 0.001
@@ -49,7 +49,9 @@ class Memo:
         return spark.read.schema(REPLY_SCHEMA).parquet(*commits)
 
     def append(self, replies: DataFrame, scope: str) -> None:
-        replies.write.mode("error").parquet(f"{self.path}/scope={scope}/commit={uuid.uuid4().hex}")
+        folder = f"{self.path}/scope={scope}/commit={uuid.uuid4().hex}"
+        replies.write.mode("error").parquet(folder)
+        commit_folder(replies.sparkSession, folder)
 
 
 def scope_of(translator: Translator, policy: Policy) -> str:

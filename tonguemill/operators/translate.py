@@ -90,8 +90,10 @@ def translate_packed(cells: DataFrame, settings: Settings) -> DataFrame:
     First the combined texts, then one by one whatever was not packed or did not come apart again.
     """
     settings = settings.with_memo(cells.sparkSession)
-    grouped = group_cells(cells, settings.batching)
-    packed = pack_groups(grouped, settings.batching)
+    # A packed request must be a single one, so it may not exceed the limit at which the policy cuts.
+    batching = replace(settings.batching, limit=min(settings.batching.limit, settings.policy.limit))
+    grouped = materialize(group_cells(cells, batching), "grouped")
+    packed = pack_groups(grouped, batching)
     sent = materialize(packed.drop("n_bytes"), "packed")
     combined = sent.where("eligible").select(*GROUP, F.col("combined").alias("text"))
     replies = translate_cells(combined, GROUP, settings).withColumnRenamed("translated", "reply")
@@ -121,6 +123,27 @@ def _turn_cells(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> D
     )
 
 
+def _nulls_in_keys(df: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether any key holds a null. Keys that two rows share are refused, before any call is made."""
+    null = F.lit(False)
+    for key in keys:
+        null = null | F.col(key).isNull()
+    each = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    found = each.agg(F.max("_n").alias("most"), F.bool_or(null).alias("nulls")).first()
+    if (found.most or 0) > 1:
+        raise ValueError(f"{list(keys)} do not identify a row")
+    return bool(found.nulls)
+
+
+def _with_news(source: DataFrame, news: DataFrame, keys: Sequence[str], nulls: bool) -> DataFrame:
+    """Left join on the keys; where they hold nulls, these match too."""
+    if not nulls:  # a plain join reuses the exchange of the grouping
+        return source.join(news, list(keys), "left")
+    renamed = news.withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    same = [source[k].eqNullSafe(renamed[f"_key_{k}"]) for k in keys]
+    return source.join(renamed, same, "left")
+
+
 def translate_columns(
     df: DataFrame,
     keys: Sequence[str],
@@ -130,7 +153,7 @@ def translate_columns(
 ) -> DataFrame:
     """Replace the chosen columns by their translation; every row and every other column stays.
 
-    `keys` identify a row. Nulls, empty strings and whatever could not be translated keep their
+    `keys` identify a row, which is checked; they may be null. Nulls, empty strings and whatever could not be translated keep their
     value. Conversations have only their `value` strings translated. With `with_status` each
     translated column gets a `<column>_status`.
     """
@@ -139,6 +162,7 @@ def translate_columns(
     spoken = [c for c, role in chosen.items() if role == CONVERSATION]
     texts = {c: role for c, role in chosen.items() if role != CONVERSATION}
     key = list(keys)
+    nulls = _nulls_in_keys(df, key) if chosen else False
     source = df.withColumns({c: py_str(c, df.schema[c].dataType) for c in spoken}) if spoken else df
     if settings.null_conversation == "empty":
         source = source.withColumns({c: F.coalesce(c, F.lit("")) for c in spoken})
@@ -170,7 +194,7 @@ def translate_columns(
     news = [F.max(mine(c, F.col("translated"))).alias(f"_new_{c}") for c in texts]
     news += [F.array_sort(F.collect_list(mine(c, turn))).alias(f"_new_{c}") for c in spoken]
     states = [F.min(mine(c, F.col("status"))).alias(f"_status_{c}") for c in chosen]
-    joined = source.join(found.groupBy(*key).agg(*news, *states), key, "left")
+    joined = _with_news(source, found.groupBy(*key).agg(*news, *states), key, nulls)
     replaced = {c: F.coalesce(f"_new_{c}", c) for c in texts}
     replaced |= {c: rebuild_conversation(c, f"_new_{c}") for c in spoken}
     reported = {f"{c}_status": F.coalesce(f"_status_{c}", F.lit(UNCHANGED)) for c in chosen if with_status}

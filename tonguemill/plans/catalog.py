@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,12 @@ def _tag_each(text: str) -> str:
     return TAG + text.replace(batching.DELIMITER, batching.DELIMITER + TAG)
 
 
+def _refuse_sevens(text: str) -> str:
+    if "7" in text:
+        raise ValueError("a service that refuses texts with a seven")
+    return TAG + text
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -91,6 +98,10 @@ def config_select(spark, sf_dir):
     return chosen.select(CONFIG, SPLIT, "doc_id")
 
 
+def config_list(spark, sf_dir):
+    return corpus.list_configs(documents(spark, sf_dir))
+
+
 def split_list(spark, sf_dir):
     return corpus.list_splits(documents(spark, sf_dir))
 
@@ -344,6 +355,41 @@ def finalize_split(spark, sf_dir):
     return _translation_run(spark, sf_dir).run().select(CONFIG, SPLIT, ROW, "doc_id", "text")
 
 
+def resume_to_end(spark, sf_dir):
+    """A run that stopped after its first wave, finished in waves of another size."""
+    first = _translation_run(spark, sf_dir, chunks_per_wave=4)
+    first.translate(max_waves=1)
+    return replace(first, chunks_per_wave=CHUNKS_PER_WAVE).run().select(CONFIG, SPLIT, ROW, "doc_id", "text")
+
+
+def smoke_run(spark, sf_dir):
+    """The smoke test of a run: ten rows of each split of the first config, in chunks of five."""
+    settings = Settings(FunctionTranslator(_tag))
+    run = TranslationRun.smoke(languages(spark, sf_dir), scratch_path(spark, "smoke"), settings, ["text"])
+    return run.run().select(CONFIG, SPLIT, ROW, "doc_id", "text")
+
+
+def _refusing() -> Settings:
+    return Settings(FunctionTranslator(_refuse_sevens), replace(segments.bytes_policy(), backoff=0.0))
+
+
+def failed_rows(spark, sf_dir):
+    """The failures of a run whose service refuses some texts."""
+    run = replace(_translation_run(spark, sf_dir), settings=_refusing())
+    run.run()
+    return run.failed()
+
+
+def retry_attempts(spark, sf_dir):
+    """How many distinct pieces took how many attempts, by outcome."""
+    settings = _refusing().with_memo(spark)
+    pieces = segments.explode_pieces(documents(spark, sf_dir), ["doc_id"], "text", settings.policy)
+    memo.fill_memo(memo.with_digest(pieces), settings.translator, settings.policy, settings.memo)
+    replies = settings.memo.read(spark, memo.scope_of(settings.translator, settings.policy))
+    attempts = F.col("attempts").cast("bigint").alias("attempts")
+    return replies.groupBy("status", attempts).agg(F.count(F.lit(1)).alias("n_pieces"))
+
+
 def incremental_translate(spark, sf_dir):
     out, checkpoint = scratch_path(spark, "out"), scratch_path(spark, "stream")
     schema = table(spark, sf_dir, "documents").select("doc_id", "text").schema
@@ -362,6 +408,7 @@ QUERIES: dict[str, Query] = {
         segment_rejoin, cost_chars, cost_system_unique, cost_conversation_chars, conv_value_tokens, cost_tokens,
         cost_estimate, cost_verdict, cost_by_split, cost_extrapolated, sample_first_n, memo_join, translate_text_column,
         token_guard, translate_conversation, batch_groups, batch_roundtrip, uniform_batches, chunk_progress,
-        pending_chunks, finalize_split, incremental_translate,
+        pending_chunks, finalize_split, resume_to_end, smoke_run, failed_rows, retry_attempts, config_list,
+        incremental_translate,
     )
 }

@@ -275,5 +275,17 @@ ORACLE: dict[str, str] = {
     "pending_chunks": f"{_CHUNKS} FROM placed GROUP BY 1, 2, 3 HAVING row_idx // 100 >= 4",
     "finalize_split": f"""{_TRANSLATED_DOCS}, {_LANGUAGES}
         SELECT config, split, row_idx, doc_id, done.text FROM placed JOIN done USING (doc_id)""",
+    "resume_to_end": f"""{_TRANSLATED_DOCS}, {_LANGUAGES}
+        SELECT config, split, row_idx, doc_id, done.text FROM placed JOIN done USING (doc_id)""",
+    "smoke_run": f"""{_TRANSLATED_DOCS}, {_LANGUAGES}
+        SELECT config, split, row_idx, doc_id, done.text FROM placed JOIN done USING (doc_id)
+        WHERE config = (SELECT min(config) FROM placed) AND row_idx < 10""",
+    "failed_rows": f"""WITH {_LANGUAGES}
+        SELECT config, split, row_idx, 'text' AS "column", 'failed' AS status FROM placed WHERE contains(text, '7')""",
+    "retry_attempts": f"""WITH {_byte_pieces('SELECT doc_id AS k0, text FROM documents')}
+        SELECT CASE WHEN contains(piece, '7') THEN 'failed' ELSE 'translated' END AS status,
+               CASE WHEN contains(piece, '7') THEN 3 ELSE 1 END::BIGINT AS attempts, count(DISTINCT piece) AS n_pieces
+        FROM pieces WHERE piece <> '' GROUP BY 1, 2""",
+    "config_list": f"WITH {_DOCS} SELECT DISTINCT config FROM docs",
     "incremental_translate": f"{_TRANSLATED_DOCS} SELECT doc_id, text, 'translated' AS text_status FROM done",
 }

@@ -56,6 +56,13 @@ class TranslationRun:
     chunk_size: int = 100
     chunks_per_wave: int | None = None
 
+    def __post_init__(self) -> None:
+        """Packing restarts in every chunk of the run, so what is packed does not depend on waves or stops."""
+        batching = self.settings.batching
+        if batching and batching.chunk_size != self.chunk_size:
+            tied = replace(self.settings, batching=replace(batching, chunk_size=self.chunk_size))
+            object.__setattr__(self, "settings", tied)
+
     @classmethod
     def smoke(cls, corpus: DataFrame, work_dir: str, settings: Settings, roles=None) -> TranslationRun:
         """A run over at most ten rows of each split of the first config, in chunks of five."""

@@ -55,9 +55,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{area}/{uuid.uuid4().hex}/{name}"
 
 
+COMMITTED = "_COMMITTED"
+
+
+def commit_folder(spark: SparkSession, path: str) -> None:
+    """Mark a folder as written whole; sessions may be set to write no mark of their own."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{COMMITTED}")
+    mark.getFileSystem(spark._jsc.hadoopConfiguration()).create(mark, True).close()
+
+
 def committed_folders(spark: SparkSession, pattern: str) -> list[str]:
-    """Folders matching a glob whose write was committed, in order of name."""
-    marks = spark._jvm.org.apache.hadoop.fs.Path(f"{pattern}/_SUCCESS")
+    """Folders matching a glob that `commit_folder` marked, in order of name."""
+    marks = spark._jvm.org.apache.hadoop.fs.Path(f"{pattern}/{COMMITTED}")
     found = marks.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(marks)
     return sorted(mark.getPath().getParent().toString() for mark in found or [])
 

@@ -61,16 +61,20 @@ def position_in_files(df: DataFrame) -> DataFrame:
 
     For a corpus whose files hold one split each. Only per-file counts are shuffled: a row's position
     is its index in its file plus the rows of the split's earlier files (by path). The table of files
-    is written first, so that its join is broadcast by its real size.
+    is written first, so that Spark knows the size of its join. Where rows were filtered out, those left
+    are ranked within their file, by file and index alone, so positions have no gaps then either.
     """
     at = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_index"))
-    counts = at.groupBy(*BY, "_file").agg(F.count(F.lit(1)).alias("n"))
-    files = materialize(_rows_before(counts, "_file").drop("n"), "files")
-    return (
-        _join(at, files, [*BY, "_file"])
-        .withColumn(ROW, F.col("_index") + F.col("n_before"))
-        .drop("_file", "_index", "n_before")
-    )
+    counts = at.groupBy(*BY, "_file").agg(F.count(F.lit(1)).alias("n"), (F.max("_index") + 1).alias("n_whole"))
+    files = materialize(_rows_before(counts, "_file"), "files")
+    whole = files.where("n <> n_whole").isEmpty()
+    placed = _join(at, files.drop("n", "n_whole"), [*BY, "_file"])
+    if whole:
+        return placed.withColumn(ROW, F.col("_index") + F.col("n_before")).drop("_file", "_index", "n_before")
+    in_file = Window.partitionBy(*BY, "_file").orderBy("_index")
+    ranks = at.select(*BY, "_file", "_index", (F.row_number().over(in_file) - 1).cast("bigint").alias("_nth"))
+    ranked = _join(placed, ranks, [*BY, "_file", "_index"])
+    return ranked.withColumn(ROW, F.col("_nth") + F.col("n_before")).drop("_file", "_index", "n_before", "_nth")
 
 
 def assign_chunks(df: DataFrame, chunk_size: int) -> DataFrame:

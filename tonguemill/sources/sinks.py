@@ -2,12 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tonguemill.sources.corpus import CONFIG, ROW, SPLIT
 from tonguemill.sources.positions import assign_chunks
 
+# Characters that Spark escapes in names of partition folders, the escape mark first.
+ESCAPED = "%\"#'*/:=?\\{[]^\x7f" + "".join(map(chr, range(1, 32)))
+
+
+def _folder_name(name: str) -> Column:
+    """A config's or split's name as it is written in a path."""
+    column = F.col(name)
+    for mark in ESCAPED:
+        column = F.replace(column, F.lit(mark), F.lit(f"%{ord(mark):02X}"))
+    return column
+
+
+def _with_names(df: DataFrame) -> DataFrame:
+    """Refuses empty names: as a folder they would be read back as no name at all."""
+
+    def named(column: str) -> Column:
+        nameless = F.raise_error(F.lit(f"a {column} without a name cannot be a folder")).cast("string")
+        return F.when(F.col(column) != "", F.col(column)).otherwise(nameless)
+
+    return df.withColumns({c: named(c) for c in (CONFIG, SPLIT)})
+
 
 def stage_chunks(df: DataFrame, path: str, chunk_size: int, chunks_per_folder: int = 1) -> None:
     """Write rows under `path/config=/split=/chunk_group=`, replacing only the groups that `df` holds.
@@ -19,7 +40,7 @@ def stage_chunks(df: DataFrame, path: str, chunk_size: int, chunks_per_folder: i
     """
     group = F.floor(F.col("chunk_id") / F.lit(chunks_per_folder)).cast("bigint")
     (
-        assign_chunks(df, chunk_size)
+        assign_chunks(_with_names(df), chunk_size)
         .withColumn("chunk_group", group)
         .repartitionByRange(CONFIG, SPLIT, ROW)
         .sortWithinPartitions(CONFIG, SPLIT, ROW)
@@ -37,6 +58,7 @@ def write_splits(df: DataFrame, path: str, n_partitions: int | None = None) -> N
     split and a later filter on `row_idx` skips files by their statistics.
     """
     keys = (CONFIG, SPLIT, ROW)
+    df = _with_names(df)
     ranged = df.repartitionByRange(n_partitions, *keys) if n_partitions else df.repartitionByRange(*keys)
     (
         ranged.sortWithinPartitions(*keys)
@@ -53,7 +75,7 @@ def manifest(df: DataFrame, text_columns: list[str], root: str = "data") -> Data
     Configs without rows do not appear.
     """
     sizes = [F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c in text_columns]
-    path = F.concat(F.lit(f"{root}/config="), F.col(CONFIG), F.lit("/split="), F.col(SPLIT))
+    path = F.concat(F.lit(f"{root}/config="), _folder_name(CONFIG), F.lit("/split="), _folder_name(SPLIT))
     return (
         df.groupBy(CONFIG, SPLIT)
         .agg(F.count(F.lit(1)).alias("n_rows"), sum(sizes, F.lit(0)).cast("bigint").alias("n_bytes"))
