@@ -24,6 +24,7 @@ def test_white_space_is_python_white_space():
 def test_words_and_strip_agree_with_python_for_every_code_point(spark):
     texts = [f"{c}a{c}b{c}" for c in every_code_point() if ord(c) < 0x3100 or ord(c) % 97 == 0]
     assert one(spark, texts, fn.words("t")) == [t.split() for t in texts]
+    assert one(spark, texts, fn.word_count("t")) == [len(t.split()) for t in texts]
     assert one(spark, texts, fn.strip_text("t")) == [t.strip() for t in texts]
 
 

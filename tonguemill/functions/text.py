@@ -13,6 +13,7 @@ PY_WHITESPACE = (
 )
 # The same set as a Java pattern; the Unicode flag covers all but the four separators U+001C..U+001F.
 PY_WHITESPACE_RUN = r"(?U)[\s\x1c-\x1f]+"
+PY_WORD = r"(?U)[^\s\x1c-\x1f]+"
 
 
 def _col(c: Column | str) -> Column:
@@ -40,7 +41,8 @@ def words(c: Column | str) -> Column:
 
 
 def word_count(c: Column | str) -> Column:
-    return F.size(words(c)).cast("bigint")
+    """Counts the runs between white space, without building the words."""
+    return F.regexp_count(_col(c), F.lit(PY_WORD)).cast("bigint")
 
 
 def split_literal(c: Column | str, separator: str) -> Column:

@@ -86,6 +86,8 @@ def fill_memo(
     scope = scope_of(translator, policy)
     n = concurrency or int(spark.conf.get("spark.sql.shuffle.partitions"))
     wanted = pieces.where(F.col("piece") != "").groupBy("text_hash").agg(F.first("piece").alias("piece"))
+    if slices > 1:  # written, or every slice would read and cut all texts again
+        wanted = materialize(wanted, "wanted")
     for part in range(slices):
         in_part = F.pmod(F.xxhash64("text_hash"), F.lit(slices)) == part if slices > 1 else F.lit(True)
         pending = (
