@@ -115,6 +115,18 @@ def test_folding_and_lexicon():
     assert matcher.score("") == matcher.score(None) < 0.2 < 0.7 < matcher.score("fool dunce")
 
 
+def test_copies_of_a_toxic_text_do_not_push_terms_out_of_the_lexicon(spark):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(8))
+    copied, plain, terms = " ".join(word() for _ in range(1500)), [word() for _ in range(300)], ["zzfoul", "zzgrim", "zzvile"]
+    texts = lambda term: " ".join(w for _ in range(6) for w in (rng.choice(plain), term or rng.choice(plain), rng.choice(plain)))
+    rows = [(copied, 1)] * 120 + [(texts(terms[i % 3]), 1) for i in range(90)] + [(texts(None), 0) for i in range(240)]
+    lexicon = toxicity.learn(spark.createDataFrame(rows, "text string, toxic int"))
+    assert {f" {t} " for t in terms} <= lexicon.weights.keys() and len(lexicon.weights) < 50
+    matcher = lexicon.matcher()
+    assert all(matcher.score(texts(t)) >= 0.7 for t in terms) and matcher.score(texts(None)) < 0.7
+
+
 def test_random_tokens_are_found_and_prose_is_not(spark):
     rng = random.Random(6)
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"

@@ -74,12 +74,11 @@ def words_of(text: str | None) -> list[str]:
 
 @dataclass(frozen=True)
 class Learning:
-    """stems: lengths of word beginnings that may enter the lexicon.  entries: the most entries (the strongest stay).
-    chance: the expected number of entries that get in by chance.  sample: labelled rows on which the curve is fitted.
+    """stems: lengths of word beginnings that may enter the lexicon.  chance: the expected number of entries that get in by
+    chance.  sample: labelled rows on which the curve is fitted.
     """
 
     stems: tuple[int, ...] = (4, 5, 6)
-    entries: int = 5000
     chance: float = 0.01
     least: int = 3
     sample: int = 20_000
@@ -162,30 +161,55 @@ def _counts(labelled: DataFrame, features, schema: str = "entry string, toxic lo
     return counts.groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def _strongest(counts: DataFrame, sizes, base: float, tried: int, how: Learning) -> DataFrame:
-    """entry and weight of what is counted with toxic rows beyond chance: twice the log-likelihood gained over the base rate
+def _significant(counts: DataFrame, sizes, base: float, tried: int, how: Learning) -> DataFrame:
+    """entry and weight of all that is counted with toxic rows beyond chance: twice the log-likelihood gained over the base rate
     exceeds what the best of so many tried would reach by chance."""
     t, c = F.col("toxic").cast("double"), F.col("clean").cast("double")
     rate = t / (t + c)
     gain = 2 * (t * F.log(rate / base) + F.when(c > 0, c * F.log((1 - rate) / (1 - base))).otherwise(0.0))
     odds = F.log((t + 0.5) / (sizes["toxic"] + 1)) - F.log((c + 0.5) / (sizes["clean"] + 1))
     scored = counts.filter(F.col("toxic") >= how.least).select("entry", gain.alias("gain"), odds.alias("weight"), rate.alias("rate"))
-    scored = scored.filter((F.col("gain") >= 2 * math.log(max(2, tried) / how.chance)) & (F.col("rate") > 0.5))
-    return scored.orderBy(F.desc("gain"), "entry").limit(how.entries)
+    return scored.filter((F.col("gain") >= 2 * math.log(max(2, tried) / how.chance)) & (F.col("rate") > 0.5)).select("entry", "weight")
 
 
-def _surroundings(labelled: DataFrame, entries: list[str]) -> DataFrame:
-    """entry, toxic and clean: the different pairs of neighbours it has in toxic and in clean rows."""
-    known = frozenset(entries)
-    lengths = sorted({len(e) - 1 for e in known if not e.endswith(" ")})
+#: Bits of the filter by which tasks know candidates, and bits of one row of Spark's bitmaps.
+FILTER_BITS, BITMAP_BITS = 1 << 23, 32768
+
+
+def _filter_of(candidates: DataFrame) -> bytes:
+    """A bit for the hash of each candidate: one megabyte, however many there are."""
+    slot = F.pmod(F.crc32(F.col("entry").cast("binary")), F.lit(FILTER_BITS))
+    rows = candidates.groupBy((slot / BITMAP_BITS).cast("int").alias("part")).agg(F.bitmap_construct_agg(slot % BITMAP_BITS).alias("bits"))
+    out = bytearray(FILTER_BITS // 8)
+    for r in rows.toLocalIterator():
+        at = r["part"] * BITMAP_BITS // 8
+        out[at : at + len(r["bits"])] = r["bits"]
+    return bytes(out)
+
+
+def _surroundings(labelled: DataFrame, candidates: DataFrame, stems: tuple[int, ...]) -> DataFrame:
+    """entry, toxic and clean for every candidate: the different pairs of neighbours it has in toxic and in clean rows.
+
+    Tasks count what the filter lets through; what is no candidate and has the hash of one goes in the join.
+    """
+    bits, lengths = _filter_of(candidates), sorted(set(stems))
+
+    def likely(entry: str) -> bool:
+        slot = zlib.crc32(entry.encode()) % FILTER_BITS
+        return bool(bits[slot >> 3] >> (slot & 7) & 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, list[str]] = {}
         for batch in batches:
             found: set[tuple[str, int, int]] = set()
             for text, toxic in zip(batch.column(0), batch.column(1).to_pylist()):
                 words = words_of(text.as_py())
                 for i, w in enumerate(words):
-                    mine = [e for e in (f" {w} ", *(f" {w[:n]}" for n in lengths if len(w) > n)) if e in known]
+                    mine = known.get(w)
+                    if mine is None:
+                        mine = [e for e in (f" {w} ", *(f" {w[:n]}" for n in lengths if len(w) > n)) if likely(e)]
+                        if len(known) < 100_000:
+                            known[w] = mine
                     if mine:
                         near = zlib.crc32(" ".join(words[max(0, i - 1) : i] + ["|"] + words[i + 1 : i + 2]).encode())
                         found.update((e, near, toxic) for e in mine)
@@ -194,14 +218,15 @@ def _surroundings(labelled: DataFrame, entries: list[str]) -> DataFrame:
 
     places = labelled.select("text", "toxic").mapInArrow(run, "entry string, near long, toxic int")
     places = places.groupBy("entry", "near").agg(F.max("toxic").alias("toxic"), (1 - F.min("toxic")).alias("clean"))
-    return places.groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    counts = places.groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    return counts.join(candidates.select("entry"), "entry", "left_semi")
 
 
 def learn(labelled: DataFrame, how: Learning = Learning()) -> Lexicon:
     """A lexicon from rows of `text` and `toxic` (0 or 1); without rows of both kinds it is empty.
 
-    All labelled rows are counted.  What reaches the driver is the lexicon, at most `entries` long, and the strengths and
-    lengths of at most `sample` rows for the curve.
+    All labelled rows are counted.  What reaches the driver is the lexicon, which has every entry and exception that passes, a
+    filter of fixed size, and the strengths and lengths of about `sample` rows for the curve.
     """
     labelled = materialize(labelled.select(F.coalesce("text", F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic")), "labelled")
     sizes = labelled.agg(F.count_if(F.col("toxic") == 1).alias("toxic"), F.count_if(F.col("toxic") == 0).alias("clean")).first()
@@ -211,11 +236,9 @@ def learn(labelled: DataFrame, how: Learning = Learning()) -> Lexicon:
     stems = how.stems
     by_document = materialize(_counts(labelled, lambda text: _features(text, stems)).filter(F.col("toxic") >= how.least), "features")
     tried = by_document.count()
-    candidates = [r["entry"] for r in _strongest(by_document, sizes, base, tried, how).collect()]
-    lexicon = Lexicon()
-    if candidates:
-        by_place = _strongest(_surroundings(labelled, candidates), sizes, base, tried, how)
-        lexicon.weights = {r["entry"]: r["weight"] for r in by_place.collect()}
+    candidates = _significant(by_document, sizes, base, tried, how)
+    by_place = _significant(_surroundings(labelled, candidates, stems), sizes, base, tried, how)
+    lexicon = Lexicon({r["entry"]: r["weight"] for r in by_place.collect()})
     if not lexicon.weights:
         lexicon.intercept = math.log(base / (1 - base))
         return lexicon
@@ -235,7 +258,7 @@ def learn(labelled: DataFrame, how: Learning = Learning()) -> Lexicon:
         return out
 
     used = _counts(labelled, phrases).filter((F.col("clean") >= how.least) & (F.col("clean") / (F.col("clean") + F.col("toxic")) > 0.9))
-    spared = used.orderBy(F.desc("clean"), "entry").limit(how.entries).collect()
+    spared = used.select("entry").collect()
     lexicon = Lexicon(lexicon.weights, frozenset(r["entry"] for r in spared))
     return _fit(labelled, lexicon, how)
 
