@@ -107,6 +107,23 @@ def test_pages_keep_articles_only(spark):
     assert got[2] == got[None] == got[4] == "" and got[3] == "cut off &am"
 
 
+def test_articles_keep_titles_lists_and_captions_at_every_length():
+    text = "Some words, and more of them, go on for quite a while in this sentence of the text"
+    menu = "<ul><li><a href='/a'>Home page</a></li><li><a href='/b'>All news</a></li></ul>"
+    for n in (2, 7, 40):
+        inner = f"<div class='body'>{f'<p>{text * 4}</p>' * n}</div>"
+        rest = "<ul><li>One point</li></ul><table><tr><td>A cell</td></tr></table><figure><figcaption>A caption</figcaption></figure>"
+        lines = ["Title", "A lead", *[text * 4] * n, "One point", "A cell", "A caption", "The end"]
+        parts = f"<h1>Title</h1><div>A lead</div>{inner}{rest}<div>The end</div>"
+        for page in (f"<article>{parts}</article>", f"<main><div>{parts}</div></main>", f"<main><h1>Title</h1><div>A lead</div><article>{inner}</article>{rest}<div>The end</div></main>",
+                     f"<div id='content'>{parts}</div>"):
+            assert html_text.main_text(f"<html><body>{menu}{page}<div><a href='/c'>More</a></div></body></html>").split("\n") == lines, (n, page[:40])
+        flat = f"<body>{menu}<h1>Title</h1>{inner}<h2>Sources</h2><ul><li>One point</li></ul><footer>All rights</footer></body>"
+        assert html_text.main_text(flat).split("\n") == ["Title", *[text * 4] * n, "Sources", "One point"]
+    small = "<div><section><p>Words, words, words, and words again.</p></section><section><p>Words, words, and words again, and.</p></section></div>"
+    assert len(html_text.main_text(small).split("\n")) == 2
+
+
 def test_folding_and_lexicon():
     assert toxicity.fold("1D10T idiоt $tupid moron$$$ É") == "idiot idiot stupid moron$$$ e"
     lexicon = toxicity.Lexicon({" fool ": 5.0, " dunc": 4.0}, frozenset({" april fool "}), 0.0, 1.0, -2.0)

@@ -1,8 +1,9 @@
 """HTML extraction by tree scoring.
 
 A page becomes a tree of elements whose text stands in blocks.  Paragraphs earn points for length and commas and pass them
-to their ancestors; a container's points are discounted by its link density; the best container and those siblings that
-also read like text are kept, and what is no article (menus, headers, notices, adverts, forms, comments) is left out.
+to their ancestors; a container's points are discounted by its link density; the article round the best container is kept
+with what reads like text, headings, lists, tables and captions beside it; what is no article (menus, headers, notices,
+adverts, forms, comments) is left out.
 """
 
 from __future__ import annotations
@@ -28,6 +29,9 @@ BLOCKS = frozenset(
     "h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot "
     "th thead title tr ul".split()
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+#: Parts of an article that earn few points or none.
+FURNITURE = frozenset("ul ol dl table figure figcaption caption".split())
 PARAGRAPHS = frozenset("p pre td blockquote li dd div section article main body h2 h3 h4".split())
 #: An element that starts ends an open one of these (as browsers do), up to the nearest container.
 ENDS = {
@@ -255,22 +259,80 @@ def _score(elements: list[Element]) -> None:
             element.points = element.points * 1.5 + 10 * (element.length > 0)
 
 
+def _article(best: Element) -> Element:
+    """The outermost article or main round the best container, or itself.  A main with several articles is no article."""
+    top, step = best, best
+    while step.parent is not None:
+        if step.name == "article":
+            top = step
+        elif step.name == "main":
+            articles, stack = 0, [step]
+            while stack and articles < 2:
+                element = stack.pop()
+                articles += element.name == "article"
+                if element.name != "article" or element is step:
+                    stack.extend(c for c in element.children if isinstance(c, Element) and not c.out)
+            if articles < 2:
+                top = step
+        step = step.parent
+    return top
+
+
+def _dense(part: Element | Block, least: float = 0.5) -> bool:
+    return part.linked >= least * (len(part.text) if isinstance(part, Block) else part.length)
+
+
+def _beside(node: Element, least: float) -> tuple[list[Element | Block], list[Element | Block]]:
+    """What is kept of a node's siblings, before and after it: what reads like text, lists, tables and captions; headings
+    before it; what stands between; and all that is no list of links where the parent has a heading of its own."""
+    parts = [c for c in node.parent.children if isinstance(c, Block) or c is node or not c.out and c.length]
+    at = next(i for i, c in enumerate(parts) if c is node)
+    named = node.name in ("article", "main")
+    kept = {at}
+    for i, part in enumerate(parts):
+        if isinstance(part, Block):
+            if len(part.text) > 80 and not _dense(part, 0.25):
+                kept.add(i)
+        elif part.points >= least or part.name in ("p", "blockquote", "pre") and part.length > 80 and not _dense(part, 0.25):
+            kept.add(i)
+        elif not named and part.name in FURNITURE and not _dense(part):
+            kept.add(i)
+    first, last = min(kept), max(kept)
+    kept.update(i for i in range(first, last) if parts[i].__class__ is Element and parts[i].name in HEADINGS | FURNITURE or not _dense(parts[i]))
+    top = first
+    follows = True  # what comes next is kept
+    for i in range(first - 1, -1, -1):
+        part = parts[i]
+        if isinstance(part, Element) and part.name in HEADINGS:
+            if follows or part.name in ("h1", "h2"):
+                kept.add(i)
+                top = i
+            follows = True
+        elif _dense(part):
+            follows = False
+    kept.update(i for i in range(top, first) if not _dense(parts[i]) and not (isinstance(parts[i], Element) and parts[i].name in HEADINGS))
+    own = any(isinstance(parts[i], Element) and parts[i].name in HEADINGS for i in kept if i < at)
+    if own and not named and node.parent.name not in ("body", "html"):
+        kept.update(i for i, part in enumerate(parts) if not _dense(part))
+    return [parts[i] for i in sorted(kept) if i < at], [parts[i] for i in sorted(kept) if i > at]
+
+
 def _best(root: Element, elements: list[Element]) -> list[Element | Block]:
-    """The best container with its kept siblings, in page order; the whole page if nothing earns points."""
+    """The article round the best container, or that container, with what is kept beside it and, where no article is marked as
+    such, beside the elements round it, in page order; the whole page if nothing earns points."""
     best = max(elements, key=lambda e: e.points)
     if best.points <= 0 or best.parent is None:
         return list(root.children)
-    least = max(8.0, best.points * 0.2)
-    kept: list[Element | Block] = []
-    for part in best.parent.children:
-        if part is best:
-            kept.append(part)
-        elif isinstance(part, Element) and not part.out and part.length:
-            density = part.linked / part.length
-            reads = part.name in ("p", "blockquote", "pre") and part.length > 80 and density < 0.25
-            if part.points >= least or reads:
-                kept.append(part)
-    return kept
+    node = top = _article(best)
+    before, after = [], []
+    while node.parent is not None:
+        above, below = _beside(node, best.points * 0.2)
+        before.append(above)
+        after.extend(below)
+        if top.name in ("article", "main"):
+            break
+        node = node.parent
+    return [part for level in reversed(before) for part in level] + [top] + after
 
 
 def extract(pages: DataFrame) -> DataFrame:
