@@ -124,6 +124,20 @@ def test_articles_keep_titles_lists_and_captions_at_every_length():
     assert len(html_text.main_text(small).split("\n")) == 2
 
 
+def test_long_comments_and_notices_are_left_out():
+    long = "".join(f"<div class='item{i}'><p>A reader says, well, this and that, and more of it, number {i}, at some length.</p></div>" for i in range(30))
+    short, line = "<p>A short article, with some commas, and a few words.</p>", "A short article, with some commas, and a few words."
+    for mark in ("id='comments'", "class='comments'", "class='cookie-notice'", "role='dialog'", "hidden", "class='left-sidebar'", "style='display:none'"):
+        for article in (f"<article>{short}</article>", f"<div>{short}</div>", f"<main>{short}</main>"):
+            for page in (f"{article}<section {mark}>{long}</section>", f"<div {mark}>{long}</div>{article}", f"<div class='with-sidebar'>{article}<div {mark}>{long}</div></div>"):
+                assert html_text.main_text(f"<body><nav>Menu</nav>{page}</body>") == line, (mark, article, page[:60])
+    for mark in ("with-sidebar", "page-header-fixed", "has-cookie-banner", "comments-open", "no-comments sidebar"):
+        for article in (f"<article>{short}{long}</article>", f"<h1>Title</h1>{short}{long}", f"<div>{short}{long}</div>"):
+            for page in (f"<div class='{mark}'>{article}</div>", f"<div class='{mark}'>{article}</div><footer>All rights are reserved by us, and more.</footer>"):
+                assert line in html_text.main_text(f"<body>{page}</body>").split("\n"), (mark, article[:30])
+    assert line in html_text.main_text(f"<body><article><h1>T</h1><div class='with-sidebar'><div>{short}{long}</div></div></article></body>")
+
+
 def test_folding_and_lexicon():
     assert toxicity.fold("1D10T idiоt $tupid moron$$$ É") == "idiot idiot stupid moron$$$ e"
     lexicon = toxicity.Lexicon({" fool ": 5.0, " dunc": 4.0}, frozenset({" april fool "}), 0.0, 1.0, -2.0)

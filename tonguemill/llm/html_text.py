@@ -44,6 +44,14 @@ NOT_ARTICLE = frozenset(
     "promo promotion notice notices cookie cookies consent gdpr banner popup modal overlay alert share sharing social related recommended "
     "newsletter subscribe subscription signup login breadcrumb breadcrumbs pagination pager toolbar widget form search skip".split()
 )
+#: Those of them that say how a page is laid out, and so may stand on a container that holds the article.
+LAYOUT = frozenset(
+    "nav navbar navigation menu header masthead footer sidebar aside breadcrumb breadcrumbs pagination pager toolbar widget form search "
+    "skip".split()
+)
+#: Words round which a class says what a container has or is for (`with-sidebar`, `comments-open`), not what it is.
+STATES = frozenset("with has no without open closed enabled disabled on off".split())
+PLACES = frozenset("content main page layout wrap wrapper container site article post body".split())
 COMMENTS = frozenset("comment comments commentlist disqus respond replies reply discussion".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog alertdialog menu menubar".split())
 
@@ -180,24 +188,34 @@ def any_open(here: Element | None, kind: str) -> bool:
     return False
 
 
-def _leave_out(element: Element) -> bool:
-    """Whether an element's name, class, id or role says that it is no part of an article."""
+def _leave_out(element: Element) -> str:
+    """Whether an element's name, class, id or role says that it is no part of an article: `yes`, or `layout` and `state` where
+    only words of layout say so, or only classes that tell what the element has; else empty."""
     if element.name in NO_TEXT:
-        return True
+        return "yes"
     if element.name == "header" and not (any_open(element, "article") or any_open(element, "main")):
-        return True
+        return "yes"
     if not element.marks or element.name in ("html", "body"):
-        return False
-    words: set[str] = set()
+        return ""
+    bad = COMMENTS if element.name in ("article", "main") else COMMENTS | NOT_ARTICLE
+    found = ""
     for m in _MARKS.finditer(element.marks):
         key, value = m.group(1).lower(), (m.group(2) or m.group(3) or m.group(4) or "").lower()
         if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and _HIDDEN.search(value):
-            return True
+            return "yes"
         if key == "role" and value in ROLES:
-            return True
+            return "yes"
         if key in ("class", "id"):
-            words.update(_WORD.findall(value))
-    return bool(words & COMMENTS) or element.name not in ("article", "main") and bool(words & NOT_ARTICLE)
+            for token in value.split():
+                words = set(_WORD.findall(token))
+                if words & bad:
+                    if words & STATES or words & PLACES and not words & bad - LAYOUT:
+                        found = found or "state"
+                    elif words & bad - LAYOUT:
+                        return "yes"
+                    else:
+                        found = "layout"
+    return found
 
 
 def _walk(root: Element) -> Iterator[Element]:
@@ -209,6 +227,43 @@ def _walk(root: Element) -> Iterator[Element]:
         stack.extend(c for c in reversed(element.children) if isinstance(c, Element))
 
 
+def _mark(root: Element, order: list[Element]) -> None:
+    """Marks as out what is no article.  Words of layout do not count on a container that holds most of the page's text and the
+    article: an article, main or h1, or all paragraphs that stand in nothing else that is out."""
+    whole = max(1, root.length - root.linked)
+    marks = {id(e): mark for e in order if e.parent is not None and (mark := _leave_out(e))}
+    wrappers = {id(e) for e in order if marks.get(id(e)) in ("layout", "state") and e.name in ("div", "section", "main")
+                and e.length - e.linked > 0.6 * whole and any(isinstance(c, Element) for c in e.children)}
+    if not wrappers:
+        for element in order:
+            element.out = id(element) in marks or bool(element.parent and element.parent.out)
+        return
+    # Bottom up: what stands in an element outside of all that is left out; top down: paragraphs beside it, articles round it.
+    read: dict[int, int] = {}
+    held: dict[int, set[str]] = {}
+    for element in reversed(order):
+        text = element.name in PARAGRAPHS - HEADINGS
+        key, n, names = id(element), 0, {element.name} & {"article", "main", "h1"}
+        for c in element.children:
+            if isinstance(c, Block):
+                n += text and len(c.text) >= 25 and not _dense(c, 0.25)
+            else:
+                n += read[id(c)] if id(c) not in marks else 0
+                names |= held[id(c)] if id(c) not in marks or id(c) in wrappers else set()
+        read[key], held[key] = n, names
+    anchors = {"article", "main"} if held[id(root)] & {"article", "main"} else {"h1"}
+    beside, inside = {id(root): 0}, {id(root): "h1" in anchors}
+    for element in order:
+        key, up = id(element), element.parent
+        if up:
+            beside[key] = beside[id(up)] + read[id(up)] - (read[key] if key not in marks else 0)
+            inside[key] = inside[id(up)] or up.name in anchors
+        element.out = bool(up and up.out)
+        if key in marks and not element.out:
+            article = held[key] & anchors or inside[key] and (marks[key] == "state" or not beside[key])
+            element.out = not (key in wrappers and article)
+
+
 def main_text(page: str | None) -> str:
     """The blocks of the article joined by newlines; empty for a null or empty page or one without text."""
     if not page:
@@ -219,13 +274,7 @@ def main_text(page: str | None) -> str:
         for child in element.children:
             element.length += len(child.text) if isinstance(child, Block) else child.length
             element.linked += child.linked
-    whole = max(1, root.length - root.linked)
-    for element in order:
-        marked = element.parent is not None and _leave_out(element)
-        # A wrapper that holds most of the page is no notice, whatever its class says.
-        wrapper = element.name in ("div", "section", "main") and element.length - element.linked > 0.6 * whole and any(
-            isinstance(c, Element) for c in element.children)
-        element.out = bool(element.parent and element.parent.out) or marked and not wrapper
+    _mark(root, order)
     _score([e for e in order if not e.out])
     kept = _best(root, [e for e in order if not e.out])
     lines: list[str] = []
