@@ -124,6 +124,16 @@ def test_articles_keep_titles_lists_and_captions_at_every_length():
     assert len(html_text.main_text(small).split("\n")) == 2
 
 
+def test_proximity_matches_without_exact_ones(spark):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    docs = make(spark, [(1, "kappa x beta y alpha z theta delta epsilon zeta eta gamma iota", "a"), (2, f"so {item} on", "a"), (3, "nothing here", "a"),
+                        (4, "mu a b nu c xi d omicron", "a")])
+    tests = spark.createDataFrame([("i", item), ("j", "lambda mu nu xi omicron pi rho sigma tau upsilon")], "item_id string, text string")
+    got = {r.doc_id: (r.n_hit, r.n_items, r.contaminated, r.n_near) for r in decontamination.report(docs, tests).collect()}
+    assert got == {1: (0, 0, False, 1), 2: (10, 1, True, 1), 3: (0, 0, False, 0), 4: (0, 0, False, 1)}
+    assert sorted(r.doc_id for r in decontamination.without_contaminated(docs, tests).collect()) == [1, 3, 4]
+
+
 def test_long_comments_and_notices_are_left_out():
     long = "".join(f"<div class='item{i}'><p>A reader says, well, this and that, and more of it, number {i}, at some length.</p></div>" for i in range(30))
     short, line = "<p>A short article, with some commas, and a few words.</p>", "A short article, with some commas, and a few words."

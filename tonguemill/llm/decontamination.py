@@ -72,14 +72,15 @@ def term_counts(texts: DataFrame, terms: frozenset[bytes]) -> dict[bytes, int]:
 
 
 def leads(items: list[tuple[int, str, list[bytes]]], counts: dict[bytes, int], window: int = WINDOW) -> set[tuple[int, int, int]]:
-    """(item, place of the rarest word, place of the next rarest) of every window whose words all occur."""
+    """(item, place of the rarest word, place of the next rarest) of every window, among its words that occur; a window of
+    several words of which only one occurs has none."""
     out = set()
     for number, _, words in items:
         size = min(window, len(words))
         rare = [counts.get(w, 0) for w in words]
         for start in range(len(words) - size + 1):
-            places = sorted(range(start, start + size), key=lambda i: (rare[i], words[i], i))
-            if rare[places[0]]:
+            places = sorted((i for i in range(start, start + size) if rare[i]), key=lambda i: (rare[i], words[i], i))
+            if len(places) >= min(2, size):
                 out.add((number, places[0], places[min(1, size - 1)]))
     return out
 
@@ -173,7 +174,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: i
 
 
 def hits_by_document(found: DataFrame) -> DataFrame:
-    """doc, key, hit_words, n_items, items (sorted, comma-joined), n_near.  A document's runs are at most its own words."""
+    """doc, key, hit_words, n_items, items (sorted, comma-joined), n_near; hit_words is 0 for documents with proximity matches
+    alone.  A document's runs are at most its own words."""
     exact = found.filter("start is not null")
     # Words inside any run: runs that begin after all earlier ones ended add all their words, others what they add.
     by_start = Window.partitionBy(*DOC).orderBy("start", "end")
@@ -182,8 +184,8 @@ def hits_by_document(found: DataFrame) -> DataFrame:
     hit = added.groupBy(*DOC).agg(F.sum("added").alias("hit_words"))
     items = exact.filter("item_id is not null").select(*DOC, "item_id").distinct().groupBy(*DOC).agg(F.array_sort(F.collect_list("item_id")).alias("items"))
     near = found.filter("start is null").select(*DOC, "item_id").distinct().groupBy(*DOC).agg(F.count("*").alias("n_near"))
-    return hit.join(items, DOC, "left").join(near, DOC, "left").select(
-        *DOC, "hit_words", F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"), F.array_join("items", ",").alias("items"), F.coalesce("n_near", F.lit(0)).alias("n_near"))
+    return hit.join(items, DOC, "left").join(near, DOC, "full").select(
+        *DOC, F.coalesce("hit_words", F.lit(0)).alias("hit_words"), F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"), F.array_join("items", ",").alias("items"), F.coalesce("n_near", F.lit(0)).alias("n_near"))
 
 
 def _with_key(docs: DataFrame) -> DataFrame:
@@ -191,7 +193,7 @@ def _with_key(docs: DataFrame) -> DataFrame:
 
 
 def report(docs: DataFrame, benchmark: DataFrame, **how: int) -> DataFrame:
-    """One row per row of `docs`: n_words, n_hit, n_items, items_sha256, contaminated (and n_near, proximity matches of hit documents).
+    """One row per row of `docs`: n_words, n_hit, n_items, items_sha256, contaminated (and n_near, items with proximity matches).
 
     Null texts have no words; no items, or no rows, give no hits.
     """
@@ -208,6 +210,6 @@ def report(docs: DataFrame, benchmark: DataFrame, **how: int) -> DataFrame:
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, **how: int) -> DataFrame:
     """`docs` with its columns, without rows that hold a window of a benchmark item."""
     found = hits_by_document(materialize(matches(docs, benchmark, **how), "matches"))
-    found = materialize(found.select(F.col("doc").alias("__hit_doc"), F.col("key").alias("__hit_key")), "hits")
+    found = materialize(found.filter("hit_words > 0").select(F.col("doc").alias("__hit_doc"), F.col("key").alias("__hit_key")), "hits")
     same = (F.col("__doc") == F.col("__hit_doc")) & (F.col("__key") == F.col("__hit_key"))
     return _with_key(docs).join(found, same, "left_anti").select(*docs.columns)
