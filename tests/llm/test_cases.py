@@ -168,6 +168,16 @@ def test_copies_of_a_toxic_text_do_not_push_terms_out_of_the_lexicon(spark):
     assert all(matcher.score(texts(t)) >= 0.7 for t in terms) and matcher.score(texts(None)) < 0.7
 
 
+@pytest.mark.parametrize("ids", [True, False])
+def test_copies_do_not_fill_the_sample_of_the_curve(spark, monkeypatch, ids):
+    rows = [(f"zzfoul {words(i, 9)} zzfoul {words(500 + i, 9)}", 1) for i in range(100)] + [("one clean text", 0)] * 150 + [("one zzfoul text", 1)] * 150
+    rows = [(i, *r) if ids else r for i, r in enumerate(rows)]
+    seen, logistic = [], toxicity._logistic
+    monkeypatch.setattr(toxicity, "_logistic", lambda x, y, *more: seen.append(len(x)) or logistic(x, y, *more))
+    toxicity.learn(spark.createDataFrame(rows, ("doc_id long, " if ids else "") + "text string, toxic int"), toxicity.Learning(sample=100))
+    assert seen and 60 <= min(seen) <= max(seen) <= 140
+
+
 def test_random_tokens_are_found_and_prose_is_not(spark):
     rng = random.Random(6)
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"

@@ -223,12 +223,14 @@ def _surroundings(labelled: DataFrame, candidates: DataFrame, stems: tuple[int,
 
 
 def learn(labelled: DataFrame, how: Learning = Learning()) -> Lexicon:
-    """A lexicon from rows of `text` and `toxic` (0 or 1); without rows of both kinds it is empty.
+    """A lexicon from rows of `text` and `toxic` (0 or 1), and `doc_id` if there is one; without rows of both kinds it is empty.
 
     All labelled rows are counted.  What reaches the driver is the lexicon, which has every entry and exception that passes, a
     filter of fixed size, and the strengths and lengths of about `sample` rows for the curve.
     """
-    labelled = materialize(labelled.select(F.coalesce("text", F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic")), "labelled")
+    # Rows are drawn by their id, or else by their place as written.
+    draw = F.xxhash64("doc_id" if "doc_id" in labelled.columns else F.monotonically_increasing_id()).alias("draw")
+    labelled = materialize(labelled.select(F.coalesce("text", F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic"), draw), "labelled")
     sizes = labelled.agg(F.count_if(F.col("toxic") == 1).alias("toxic"), F.count_if(F.col("toxic") == 0).alias("clean")).first()
     if not sizes["toxic"] or not sizes["clean"]:
         return Lexicon(intercept=-2.0 if not sizes["toxic"] else 0.0)
@@ -276,7 +278,7 @@ def _cached(lexicon: Lexicon) -> Matcher:
 
 
 def _fit(labelled: DataFrame, lexicon: Lexicon, how: Learning) -> Lexicon:
-    """Power and logistic curve on about `sample` labelled rows, chosen by a hash of their text."""
+    """Power and logistic curve on about `sample` labelled rows, chosen by `draw`, so that copies of a text are drawn one by one."""
 
     def strengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = lexicon.matcher()
@@ -287,7 +289,7 @@ def _fit(labelled: DataFrame, lexicon: Lexicon, how: Learning) -> Lexicon:
                 names=["strength", "n", "toxic"])
 
     share = min(1.0, how.sample / max(1, labelled.count()))
-    sample = labelled.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000))
+    sample = labelled.filter(F.pmod("draw", F.lit(1_000_000)) < int(share * 1_000_000))
     rows = sample.select("text", "toxic").mapInArrow(strengths, "strength double, n long, toxic int").toPandas()
     y = rows["toxic"].to_numpy(float)
     best = (math.inf, 0.0, -2.0, 1.0)
@@ -330,7 +332,7 @@ def labelled_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     sure = sure.agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("other")).filter("toxic = other").drop("other")
     learnable = docs.filter(~held_out() & F.col("text").isNotNull()).select("doc_id", "text")
     # Both sides may be large, so the plan is the same at every size: one shuffle of the texts that may be learned from.
-    return learnable.hint("merge").join(sure, learnable.doc_id == sure.id).select("text", "toxic")
+    return learnable.hint("merge").join(sure, learnable.doc_id == sure.id).select("doc_id", "text", "toxic")
 
 
 def score(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.7) -> DataFrame:
