@@ -60,6 +60,18 @@ def test_odd_rows_of_every_operator(spark, odd, none):
     assert gone[4] == gone[5] == len(words(1, 4000)) and gone[1] == gone[6] == 0 and gone[8] == gone[9] == len(words(3, 200))
 
 
+def test_copies_without_an_id_are_dropped(spark):
+    a, b = words(21, 300), words(22, 300)
+    for high in (1, 2**63 - 1):
+        docs = make(spark, [(high, a, "a"), (None, a, "a"), (None, a + " zz", "a"), (None, b, "a"), (None, b, "a"), (None, b + " yy", "a"),
+                            (None, None, "a"), (None, None, "a"), (None, " ", "a"), (None, " ", "a")])
+        kept = near_dedup.without_copies(docs).collect()
+        texts = [r.text for r in kept]
+        assert len(kept) == 6 and texts.count(None) == texts.count(" ") == 2
+        assert sum((t or "").startswith(a) for t in texts) == sum((t or "").startswith(b) for t in texts) == 1
+        assert high == 2**63 - 1 or high in [r.doc_id for r in kept]
+
+
 def test_graded_copies_need_pivots_and_blocks(spark, monkeypatch):
     """Copies with edits of every strength, of which many are near some but not all others."""
     monkeypatch.setattr(near_dedup, "BLOCK", 16)

@@ -355,10 +355,24 @@ def groups(docs: DataFrame, how: MinHash = MinHash()) -> DataFrame:
         F.coalesce(F.col("doc") == component, F.lit(True)).alias("kept"), F.col("key").alias("text_key"))
 
 
+def _keys(docs: DataFrame) -> DataFrame:
+    """`docs` with `__doc`: the id, or for a null one 62 bits of the text, above all ids (below, if ids are that large), so that
+    of a group the rows with ids are the smaller; null where there is neither an id nor a word."""
+    bits = F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1))
+    most = docs.agg(F.max(F.col("doc_id").cast("long")).alias("most")).first()["most"]
+    key = bits + F.lit(1 << 62 if most is None or most < 1 << 62 else -(1 << 63)).cast("long")
+    has_words = F.coalesce(F.col("text").rlike(r"[^ \t-\r]"), F.lit(False))
+    return docs.withColumn("__doc", F.when(F.col("doc_id").isNotNull(), F.col("doc_id").cast("long")).when(has_words, key))
+
+
 def without_copies(docs: DataFrame, how: MinHash = MinHash()) -> DataFrame:
-    """`docs` with its columns: of every group one document stays, the one with the smallest id, and one row of it."""
-    kept = groups(docs, how).filter("kept and doc_id is not null").select(F.col("doc_id").alias("__kept")).distinct()
-    kept = materialize(kept, "kept")
-    one = docs.filter("doc_id is not null").join(kept, F.col("doc_id").cast("long") == F.col("__kept"), "left_semi")
-    one = one.dropDuplicates(["doc_id"])
-    return one.unionByName(docs.filter("doc_id is null")).select(*docs.columns)
+    """`docs` with its columns: of every group one document stays, the one with the smallest id, and one row of it.
+
+    Rows with a null doc_id are grouped like others, each text as a document of its own; those without words all stay.
+    """
+    keyed = _keys(docs)
+    kept = groups(keyed.select(F.col("__doc").alias("doc_id"), "text"), how).filter("kept and doc_id is not null")
+    kept = materialize(kept.select(F.col("doc_id").alias("__kept")).distinct(), "kept")
+    one = keyed.filter("__doc is not null").join(kept, F.col("__doc") == F.col("__kept"), "left_semi")
+    one = one.dropDuplicates(["__doc"])
+    return one.unionByName(keyed.filter("__doc is null")).select(*docs.columns)
