@@ -15,10 +15,10 @@ from tonguemill.functions.text import (
     word_count,
     words,
 )
-from tonguemill.functions.tokens import bpe, chars4, tokenizer, words075
+from tonguemill.functions.tokens import Vocabulary, bpe, chars4, tokenizer, words075
 
 __all__ = [
-    "bpe", "byte_length", "char_length", "chars4", "conversation_value_chars", "conversation_values",
+    "Vocabulary", "bpe", "byte_length", "char_length", "chars4", "conversation_value_chars", "conversation_values",
     "fixed_slices", "py_str", "rebuild_conversation", "sentences", "split_literal", "strip_text",
     "text_digest", "tokenizer", "word_count", "words", "words075",
 ]

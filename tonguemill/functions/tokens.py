@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from base64 import b64decode
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from functools import lru_cache
+from pathlib import Path
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark import SparkFiles
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,17 +39,51 @@ def encoded_length(encoder, text: str) -> int:
         return len(text.split()) * 4 // 3
 
 
-def bpe(encoding: str = BPE_ENCODING) -> Tokenizer:
-    """Byte-pair counts. Needs tiktoken and its vocabulary on every worker.
+@dataclass(frozen=True)
+class Vocabulary:
+    """Byte-pair ranks from a named file (a line of base64 token and rank each), and the pattern that cuts texts before.
 
-    A text that the encoder refuses (it may spell a special token) counts int(words / 0.75), and only that text.
+    `ship` sends the file to all executors with the job; without it, `path` must be one that every executor can open.
+    """
+
+    path: str
+    # Fixed value: the pattern of the public 50k byte-pair vocabulary.
+    pattern: str = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
+
+    def ship(self, spark: SparkSession) -> Vocabulary:
+        spark.sparkContext.addFile(self.path)
+        return self
+
+    def open(self):
+        """The encoder of this worker, built once for all its tasks."""
+        return _encoder(self)
+
+
+@lru_cache(maxsize=4)
+def _encoder(vocabulary: Vocabulary):
+    import tiktoken
+
+    shipped = SparkFiles.get(Path(vocabulary.path).name)
+    with open(shipped if Path(shipped).exists() else vocabulary.path, "rb") as lines:
+        ranks = {b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
+    return tiktoken.Encoding("named file", pat_str=vocabulary.pattern, mergeable_ranks=ranks, special_tokens={})
+
+
+def bpe(encoding: str | Vocabulary = BPE_ENCODING) -> Tokenizer:
+    """Byte-pair counts, by a vocabulary file or by the name of an encoding that tiktoken finds on every worker.
+
+    A text that the encoder refuses (it may spell a special token of a named encoding) counts int(words / 0.75), and only that
+    text. Nulls stay null.
     """
 
     @F.pandas_udf(T.LongType())
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        import tiktoken
+        if isinstance(encoding, Vocabulary):
+            encoder = encoding.open()
+        else:
+            import tiktoken
 
-        encoder = tiktoken.get_encoding(encoding)  # once per Python worker task, not per row
+            encoder = tiktoken.get_encoding(encoding)  # once per Python worker task, not per row
         for texts in batches:
             yield pd.Series([None if t is None else encoded_length(encoder, t) for t in texts], dtype="Int64")
 

@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tonguemill.functions.text import text_digest
@@ -18,40 +18,79 @@ from tonguemill.session import commit_folder, committed_folders, materialize, sc
 
 # A text is hot when it takes more than this share of all lookups, so at most 1/share texts are.
 HOT_SHARE = 0.001
-# With fewer lookups than this a text is never hot: one task handles them at once.
-HOT_MIN_ROWS = 100_000
+# Folders of a commit; a lookup opens those that hold a digest it asks for.
+BUCKETS = 32
+FILTER_SCHEMA = "fingerprint bigint, bucket int"
 
 
 @dataclass(frozen=True)
 class Memo:
-    """Parquet replies, a folder per scope and append, for one writer at a time.
+    """Parquet replies found by digest, a folder per scope and append, for one writer at a time.
+
+    A commit deals its replies by digest into `buckets` folders of sorted files, and keeps a filter beside
+    them: 64 bits of every digest and the bucket it went to. A lookup reads the filters of earlier commits
+    and opens only the buckets that hold what it asks for, so a wave reads no replies of buckets it shares
+    no text with, however many waves there were before.
 
     Failed replies are kept like any other. Services share replies only under the same provider,
     languages, model and policy, so give each service its own provider name.
     """
 
     path: str
+    buckets: int = BUCKETS
 
     @classmethod
     def temporary(cls, spark: SparkSession) -> Memo:
         return cls(scratch_path(spark, "memo"))
 
+    def commits(self, spark: SparkSession, scope: str) -> list[str]:
+        return committed_folders(spark, f"{self.path}/scope={scope}/commit=*")
+
     def read(self, spark: SparkSession, scope: str) -> DataFrame:
-        """Replies committed so far.
+        """All replies committed so far."""
+        return read_replies(spark, [f"{c}/replies" for c in self.commits(spark, scope)])
 
-        Every append has a folder of its own, and the folders are named in the scan. Spark takes two
-        scans of one root path for the same table, even when files were added between them, and would
-        answer both from the older one if they meet in one query.
+    def holding(self, digests: DataFrame, commits: Sequence[str]) -> list[str]:
+        """The buckets of `commits` that hold any of the digests; at most `buckets` folders a commit.
+
+        The filters are all that is read. Two digests with the same 64 bits may name a bucket too many.
         """
-        commits = committed_folders(spark, f"{self.path}/scope={scope}/commit=*")
         if not commits:
-            return spark.createDataFrame([], REPLY_SCHEMA)
-        return spark.read.schema(REPLY_SCHEMA).parquet(*commits)
-
-    def append(self, replies: DataFrame, scope: str) -> None:
+            return []
+        spark = digests.sparkSession
+        filters = spark.read.schema(FILTER_SCHEMA).parquet(*[f"{c}/filter" for c in commits])
+        commit = F.regexp_extract(F.col("_metadata.file_path"), r"/(commit=[0-9a-f]+)/filter/", 1)
+        asked = digests.select(F.xxhash64("text_hash").alias("fingerprint")).distinct()
+        found = filters.select("fingerprint", "bucket", commit.alias("commit")).join(asked, "fingerprint", "left_semi")
+        folder = {c.rsplit("/", 1)[1]: c for c in commits}
+        return sorted(f"{folder[r.commit]}/replies/bucket={r.bucket}" for r in found.select("commit", "bucket").distinct().collect())
+
+    def append(self, replies: DataFrame, scope: str) -> str:
+        """Commit replies, and return the folder that holds them."""
         folder = f"{self.path}/scope={scope}/commit={uuid.uuid4().hex}"
-        replies.write.mode("error").parquet(folder)
-        commit_folder(replies.sparkSession, folder)
+        dealt = replies.withColumn("bucket", bucket_of("text_hash", self.buckets)).sortWithinPartitions("bucket", "text_hash")
+        dealt.write.mode("error").partitionBy("bucket").parquet(f"{folder}/replies")
+        spark = replies.sparkSession
+        stored = spark.read.schema("text_hash binary, bucket int").parquet(f"{folder}/replies")  # digests alone are read
+        stored.select(F.xxhash64("text_hash").alias("fingerprint"), "bucket").write.mode("error").parquet(f"{folder}/filter")
+        commit_folder(spark, folder)
+        return folder
+
+
+def bucket_of(digest: Column | str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(digest), F.lit(buckets)).cast("int")
+
+
+def read_replies(spark: SparkSession, folders: Sequence[str]) -> DataFrame:
+    """The replies in the named folders.
+
+    Every append has a folder of its own, and the folders are named in the scan. Spark takes two
+    scans of one root path for the same table, even when files were added between them, and would
+    answer both from the older one if they meet in one query.
+    """
+    if not folders:
+        return spark.createDataFrame([], REPLY_SCHEMA)
+    return spark.read.schema(REPLY_SCHEMA).option("recursiveFileLookup", "true").parquet(*folders)  # buckets are no column
 
 
 def scope_of(translator: Translator, policy: Policy) -> str:
@@ -62,8 +101,24 @@ def scope_of(translator: Translator, policy: Policy) -> str:
     return f"{readable}-{digest[:16]}"
 
 
-def with_digest(pieces: DataFrame) -> DataFrame:
-    return pieces.withColumn("text_hash", text_digest("piece"))
+def with_digest(pieces: DataFrame, places: Sequence[str] = ()) -> DataFrame:
+    """Adds the key under which a piece's reply is found: of its text, and of its place if replies are not shared."""
+    if not places:
+        return pieces.withColumn("text_hash", text_digest("piece"))
+    return pieces.withColumn("text_hash", text_digest(F.to_json(F.struct(*places, "piece"))))
+
+
+def _dealt(pending: DataFrame, n: int, buckets: int) -> DataFrame:
+    """Rows dealt to about `n` tasks along the memo's buckets, so that a task writes few files.
+
+    The number of tasks is explicit, because adaptive execution would merge small ones.
+    """
+    bucket = bucket_of("text_hash", buckets)
+    if n <= buckets:
+        return pending.repartitionById(n, F.floor(bucket * n / buckets).cast("int"))
+    spread = n // buckets
+    inside = F.pmod(F.hash("text_hash"), F.lit(spread))
+    return pending.repartitionById(buckets * spread, (bucket * spread + inside).cast("int"))
 
 
 def fill_memo(
@@ -73,44 +128,46 @@ def fill_memo(
     memo: Memo,
     concurrency: int | None = None,
     slices: int = 1,
-) -> None:
-    """Translate every distinct piece the memo lacks and store the replies.
+    in_flight: int = 1,
+) -> list[str]:
+    """Translate every distinct piece the memo lacks, store the replies, and name the folders that answer all pieces.
 
     `pieces` has (text_hash, piece). Copies of a text meet in each task first, so a text that fills a
-    third of the corpus leaves every task once. Grouping by the digest alone lets the memo join use the
-    same exchange. The calls run in `concurrency` partitions, set explicitly because adaptive execution
-    would merge small ones, which also bounds the request rate. With `slices` > 1 the replies are
-    committed in that many parts: a failure repeats one part only.
+    third of the corpus leaves every task once. The calls run in `concurrency` partitions with `in_flight`
+    calls at a time in each, which bounds the request rate. With `slices` > 1 the replies are
+    committed in that many parts: a failure repeats one part only. Of earlier commits only the buckets that
+    hold some of the pieces are opened, and of those only the digests are read here.
     """
     spark = pieces.sparkSession
     scope = scope_of(translator, policy)
     n = concurrency or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    earlier = memo.commits(spark, scope)
     wanted = pieces.where(F.col("piece") != "").groupBy("text_hash").agg(F.first("piece").alias("piece"))
-    if slices > 1:  # written, or every slice would read and cut all texts again
+    if slices > 1 or earlier:  # written, or every use would read and gather all texts again
         wanted = materialize(wanted, "wanted")
+    folders = memo.holding(wanted, earlier)
+    known = read_replies(spark, folders).select("text_hash")
     for part in range(slices):
         in_part = F.pmod(F.xxhash64("text_hash"), F.lit(slices)) == part if slices > 1 else F.lit(True)
-        pending = (
-            wanted.where(in_part)
-            .join(memo.read(spark, scope).select("text_hash"), "text_hash", "left_anti")
-            .repartition(n, "text_hash")
-            .withColumn("over_limit", over_token_limit("piece", policy))
-        )
-        memo.append(translate_distinct(pending, translator, policy), scope)
+        pending = wanted.where(in_part)
+        if folders:
+            pending = pending.join(known, "text_hash", "left_anti")
+        pending = _dealt(pending, n, memo.buckets).withColumn("over_limit", over_token_limit("piece", policy))
+        folders = [*folders, f"{memo.append(translate_distinct(pending, translator, policy, in_flight), scope)}/replies"]
+    return folders
 
 
-def hot_texts(index: DataFrame, share: float = HOT_SHARE, min_rows: int = HOT_MIN_ROWS) -> DataFrame | None:
-    """(text_hash, n_salts) of texts with too many lookups for one task; None if there can be none.
+def hot_texts(index: DataFrame, share: float = HOT_SHARE, min_rows: int = 1) -> DataFrame | None:
+    """(text_hash, n_salts) of texts with too many lookups for one task; None if there are none.
 
     A hot text takes more than `share` of all rows, so the result has fewer than 1/share rows whatever
-    the data, and salting cuts each hot text into parts of at most `share` of all rows.
+    the data, and salting cuts each hot text into parts of at most `share` of all rows (`min_rows` at least).
     """
-    n_lookups = index.count()
-    if n_lookups <= min_rows:
-        return None
+    counts = materialize(index.groupBy("text_hash").agg(F.count(F.lit(1)).alias("n")), "lookups")
+    n_lookups = counts.agg(F.sum("n")).first()[0] or 0
     limit = max(min_rows, int(n_lookups * share))
-    counts = index.groupBy("text_hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit)
-    hot = materialize(counts.select("text_hash", F.ceil(F.col("n") / limit).cast("int").alias("n_salts")), "hot")
+    hot = counts.where(F.col("n") > limit)
+    hot = materialize(hot.select("text_hash", F.ceil(F.col("n") / limit).cast("int").alias("n_salts")), "hot")
     return None if hot.isEmpty() else hot
 
 

@@ -3,6 +3,9 @@
 A text becomes an array of pieces (seg, sub, piece, cut): replies of one `seg` join without a
 separator in order of `sub`, segments join with the policy's separator in order of `seg`. `cut` tells
 how the piece came about: whole text, segment of sentences, fixed slice, or hard cut of one sentence.
+
+A policy that preserves separators cuts the text where sentences and paragraphs end without changing it. Its pieces also
+carry the white space that stood before and after them (`before`, `after`), so replies join to a text with the layout of the original.
 """
 
 from __future__ import annotations
@@ -34,10 +37,13 @@ class Policy:
     max_tokens: int | None = None
     prompt_tokens: int = 0
     tokens: str = "chars4"
+    preserve_separators: bool = False
 
     @property
     def fingerprint(self) -> str:
         shaping = {k: v for k, v in asdict(self).items() if k not in ("backoff", "max_retries")}
+        if not self.preserve_separators:  # replies and runs from before there was a choice stay valid
+            del shaping["preserve_separators"]
         return ";".join(f"{k}={v}" for k, v in sorted(shaping.items()))
 
 
@@ -123,9 +129,64 @@ def _fitted(segment: Column, seg: Column, limit: int) -> Column:
     return F.when(byte_length(segment) > limit, slices).otherwise(F.array(_piece(seg, F.lit(0), segment, SEGMENT)))
 
 
+# A sentence or paragraph with what ends it; the last one of a text may have no end. Nothing is left out.
+UNIT = r"(?s)(?:.*?(?:\. |\n\n)|.+\z)"
+
+
+def _whole_units(column: Column, limit: int) -> Column:
+    """The text as strings of whole units that fit the limit, where a unit does."""
+
+    def pack(units: Column) -> Column:
+        sizes = F.transform(units, lambda u: F.octet_length(u) - 1)  # no space is put between them
+
+        def assemble(starts: Column) -> Column:
+            def segment(start: Column, i: Column) -> Column:
+                end = F.when(i + 1 < F.size(starts), F.get(starts, i + 1)).otherwise(F.size(units))
+                return F.array_join(F.slice(units, start + 1, end - start), "")
+
+            return F.transform(starts, segment)
+
+        return _bind(_segment_starts(sizes, limit), assemble)
+
+    return _bind(F.regexp_extract_all(column, F.lit(UNIT), F.lit(0)), pack)
+
+
+def _kept_pieces(column: Column, policy: Policy) -> Column:
+    """Pieces that with their white space make up the text exactly."""
+
+    def piece(seg: Column, sub: Column, part: Column, cut: Column) -> Column:
+        def split(core: Column) -> Column:
+            blank = core == ""
+            lead = F.when(blank, part).otherwise(F.left(part, F.position(core, part) - 1))
+            rest = F.length(part) - F.length(lead) - F.length(core)
+            return F.struct(
+                seg.cast("int").alias("seg"), sub.cast("int").alias("sub"), core.alias("piece"), cut.alias("cut"),
+                lead.alias("before"), F.when(blank | (rest == 0), "").otherwise(F.right(part, rest)).alias("after"),
+            )
+
+        return _bind(strip_text(part), split)
+
+    zero = F.lit(0)
+    if policy.kind == "chars":
+        short = char_length(column) <= policy.limit
+        cut = F.transform(fixed_slices(column, policy.limit), lambda s, i: piece(i, zero, s, F.lit(SLICE)))
+    else:
+        short = byte_length(column) <= policy.limit
+
+        def fitted(part: Column, seg: Column) -> Column:
+            slices = F.transform(fixed_slices(part, policy.limit // 4), lambda s, i: piece(seg, i, s, F.lit(HARD_CUT)))
+            alone = F.array(piece(seg, zero, part, F.lit(SEGMENT)))
+            return F.when(byte_length(strip_text(part)) > policy.limit, slices).otherwise(alone)
+
+        cut = F.flatten(F.transform(_whole_units(column, policy.limit), fitted))
+    return F.when(short, F.array(piece(zero, zero, column, F.lit(WHOLE)))).otherwise(cut)
+
+
 def pieces_of(text: Column | str, policy: Policy) -> Column:
     """The pieces of a text. A long text without any sentence yields one empty piece."""
     column = F.col(text) if isinstance(text, str) else text
+    if policy.preserve_separators:
+        return _kept_pieces(column, policy)
     if policy.kind == "chars":
         slices = F.transform(
             fixed_slices(column, policy.limit), lambda s, i: _piece(i, F.lit(0), s, SLICE)
@@ -141,12 +202,19 @@ def pieces_of(text: Column | str, policy: Policy) -> Column:
 
 
 def explode_pieces(df: DataFrame, keys: Sequence[str], text: str, policy: Policy) -> DataFrame:
-    """One row per piece: (keys, seg, sub, piece, cut)."""
+    """One row per piece: (keys, seg, sub, piece, cut), and (before, after) where separators are preserved."""
     return df.select(*keys, F.inline(pieces_of(text, policy)))
 
 
+def piece_fields(policy: Policy) -> list[str]:
+    """What `joined_text` needs of a piece besides its value."""
+    return ["seg", "sub", "cut", *(("before", "after") if policy.preserve_separators else ())]
+
+
 def joined_text(pieces: Column, policy: Policy, value: str = "piece") -> Column:
-    """Join an array of (seg, sub, cut, <value>) structs in order. Under bytes a split text is stripped."""
+    """Join an array of (piece_fields, <value>) structs in order. Under bytes a split text is stripped."""
+    if policy.preserve_separators:
+        return F.array_join(F.transform(F.array_sort(pieces), lambda p: F.concat(p["before"], p[value], p["after"])), "")
 
     def glue(p: Column) -> Column:
         starts_segment = (p["seg"] > 0) & (p["sub"] == 0)
@@ -163,5 +231,5 @@ def joined_text(pieces: Column, policy: Policy, value: str = "piece") -> Column:
 
 def rejoin_pieces(pieces: DataFrame, keys: Sequence[str], policy: Policy, value: str = "piece") -> DataFrame:
     """Texts from their pieces. A group is the pieces of one text, so it stays as small as a text."""
-    parts = F.collect_list(F.struct("seg", "sub", "cut", value))
+    parts = F.collect_list(F.struct(*piece_fields(policy), value))
     return pieces.groupBy(*keys).agg(joined_text(parts, policy, value).alias("text"))

@@ -18,18 +18,9 @@ from tonguemill.operators.batching import (
     unpack_replies,
     unpacked_cells,
 )
-from tonguemill.operators.memo import (
-    HOT_MIN_ROWS,
-    HOT_SHARE,
-    Memo,
-    fill_memo,
-    hot_texts,
-    look_up,
-    scope_of,
-    with_digest,
-)
+from tonguemill.operators.memo import HOT_SHARE, Memo, fill_memo, hot_texts, look_up, read_replies, with_digest
 from tonguemill.operators.projection import CONVERSATION, Roles, translatable, translation_roles
-from tonguemill.operators.segments import Policy, bytes_policy, explode_pieces, joined_text
+from tonguemill.operators.segments import Policy, bytes_policy, explode_pieces, joined_text, piece_fields
 from tonguemill.operators.translator import TRANSLATED, UNCHANGED, Translator
 from tonguemill.session import materialize
 from tonguemill.sources.corpus import CONFIG, ROW, SPLIT
@@ -47,10 +38,14 @@ class Settings:
     memo_slices: int = 1
     null_conversation: str = "keep"  # or "empty": a missing conversation becomes an empty string
     hot_share: float = HOT_SHARE
-    hot_min_rows: int = HOT_MIN_ROWS
+    hot_min_rows: int = 1
+    in_flight: int = 1  # calls at a time in each task
+    share_replies: bool = True  # False: every piece is sent by itself, and nothing is kept for later calls
 
     def with_memo(self, spark) -> Settings:
-        return self if self.memo else replace(self, memo=Memo.temporary(spark))
+        if self.share_replies:
+            return self if self.memo else replace(self, memo=Memo.temporary(spark))
+        return replace(self, memo=Memo.temporary(spark))
 
 
 def translate_cells(
@@ -59,22 +54,26 @@ def translate_cells(
     """Translate (keys, text) rows of non-empty text: (keys, translated, status).
 
     Only digests and positions travel with the keys; texts go through `distinct` to the translator and
-    come back from the memo. The index of pieces is written before any call is made, so that calls,
-    the hot-text count and the join all see the same pieces.
+    come back from the memo. The pieces are written before any call is made: texts are cut once, and
+    the calls, the hot-text count and the join all see the same pieces.
     """
     spark = cells.sparkSession
     settings = settings.with_memo(spark)
     policy = settings.policy
-    pieces = with_digest(explode_pieces(cells, keys, "text", policy))
-    index = materialize(pieces.withColumn("blank", F.col("piece") == "").drop("piece"), "pieces")
-    fill_memo(pieces, settings.translator, policy, settings.memo, settings.concurrency, settings.memo_slices)
-    replies = settings.memo.read(spark, scope_of(settings.translator, policy)).drop("attempts")
+    places = () if settings.share_replies else (*keys, "seg", "sub")
+    pieces = with_digest(explode_pieces(cells, keys, "text", policy), places).withColumn("blank", F.col("piece") == "")
+    pieces = materialize(pieces, "pieces")
+    index = pieces.drop("piece")
+    folders = fill_memo(
+        pieces, settings.translator, policy, settings.memo, settings.concurrency, settings.memo_slices, settings.in_flight
+    )
+    replies = read_replies(spark, folders).drop("attempts")
     hot = hot_texts(index, settings.hot_share, settings.hot_min_rows)
     found = look_up(index, replies, [*keys, "seg", "sub"], hot)
     # Only the empty piece of a blank text has no reply; any other that is missing must not become an empty text.
     lost = F.raise_error(F.lit("the memo has no reply for a piece that was sent")).cast("string")
     reply = F.when(F.col("blank"), F.coalesce("translated", F.lit(""))).otherwise(F.coalesce("translated", lost))
-    parts = F.collect_list(F.struct("seg", "sub", "cut", reply.alias("reply")))
+    parts = F.collect_list(F.struct(*piece_fields(policy), reply.alias("reply")))
     # The worst outcome comes first in the alphabet: failed, skipped_tokens, translated.
     status = F.coalesce(F.min("status"), F.lit(TRANSLATED))
     # Placing pieces by the row's key once serves this grouping and the caller's join back to the row.
@@ -194,8 +193,14 @@ def translate_columns(
     news = [F.max(mine(c, F.col("translated"))).alias(f"_new_{c}") for c in texts]
     news += [F.array_sort(F.collect_list(mine(c, turn))).alias(f"_new_{c}") for c in spoken]
     states = [F.min(mine(c, F.col("status"))).alias(f"_status_{c}") for c in chosen]
-    joined = _with_news(source, found.groupBy(*key).agg(*news, *states), key, nulls)
-    replaced = {c: F.coalesce(f"_new_{c}", c) for c in texts}
+    # Of a text that was sent, only that it was travels to the join; nulls and empty texts go as they are.
+    sent = {f"_sent_{c}": F.coalesce(translatable(c), F.lit(False)) for c in texts}
+    light = source.withColumns(sent).withColumns({c: F.when(~F.col(f"_sent_{c}"), F.col(c)) for c in texts})
+    joined = _with_news(light, found.groupBy(*key).agg(*news, *states), key, nulls)
+    lost = F.raise_error(F.lit("a text that was sent has no result")).cast("string")
+    replaced = {
+        c: F.when(F.col(f"_sent_{c}"), F.coalesce(f"_new_{c}", lost)).otherwise(F.coalesce(f"_new_{c}", c)) for c in texts
+    }
     replaced |= {c: rebuild_conversation(c, f"_new_{c}") for c in spoken}
     reported = {f"{c}_status": F.coalesce(f"_status_{c}", F.lit(UNCHANGED)) for c in chosen if with_status}
     return joined.withColumns(replaced | reported).select(*df.columns, *reported)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import threading
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Protocol
 
@@ -20,7 +22,7 @@ REPLY_SCHEMA = "text_hash binary, translated string, status string, attempts int
 
 
 class Translator(Protocol):
-    """A serialisable description of a service. `open` runs once per task, on the executor."""
+    """A serialisable description of a service. `open` runs on the executor, once for each thread that calls."""
 
     provider: str
     model: str
@@ -60,23 +62,47 @@ def call_with_retries(call: Callable[[str], str], text: str, policy: Policy, sle
                 raise ValueError("the service sent no text")
             return (reply.strip() if policy.strip_reply else reply), TRANSLATED, attempt + 1
         except Exception:  # noqa: BLE001 - whatever a service raises is one failed attempt
-            if attempt + 1 < policy.max_retries:
+            if attempt + 1 < policy.max_retries and policy.backoff > 0:  # 0 means no wait, also where 0**0 would be 1
                 sleep(policy.backoff**attempt)
     return text, FAILED, policy.max_retries
 
 
-def translate_distinct(texts: DataFrame, translator: Translator, policy: Policy) -> DataFrame:
-    """Replies to (text_hash, piece, over_limit) rows, one call each. Rows stream through a task."""
+def translate_distinct(texts: DataFrame, translator: Translator, policy: Policy, in_flight: int = 1) -> DataFrame:
+    """Replies to (text_hash, piece, over_limit) rows, one call each. Rows stream through a task.
+
+    A task keeps at most `in_flight` calls going, retries included; while the last calls of a batch end, those of the
+    next begin. `open` runs once in each of these threads.
+    """
+    if in_flight < 1:
+        raise ValueError("a task needs at least one call in flight")
 
     def stage(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        call = translator.open()
-        for batch in batches:
-            replies = [
-                (text, SKIPPED_TOKENS, 0) if over else call_with_retries(call, text, policy)
-                for text, over in zip(batch["piece"], batch["over_limit"])
-            ]
-            out = pd.DataFrame(replies, columns=["translated", "status", "attempts"])
+        own = threading.local()
+
+        def reply(text: str, over: bool) -> tuple[str, str, int]:
+            if over:
+                return text, SKIPPED_TOKENS, 0
+            if not hasattr(own, "call"):
+                own.call = translator.open()
+            return call_with_retries(own.call, text, policy)
+
+        def answered(batch: pd.DataFrame, replies: Iterable[tuple[str, str, int]]) -> pd.DataFrame:
+            out = pd.DataFrame(list(replies), columns=["translated", "status", "attempts"])
             out.insert(0, "text_hash", batch["text_hash"].to_numpy())
-            yield out
+            return out
+
+        if in_flight == 1:
+            for batch in batches:
+                yield answered(batch, map(reply, batch["piece"], batch["over_limit"]))
+            return
+        with ThreadPoolExecutor(in_flight) as threads:
+            waiting = None
+            for batch in batches:
+                started = batch, threads.map(reply, batch["piece"], batch["over_limit"])
+                if waiting:
+                    yield answered(*waiting)
+                waiting = started
+            if waiting:
+                yield answered(*waiting)
 
     return texts.mapInPandas(stage, REPLY_SCHEMA)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import threading
+import time
 from collections.abc import Callable
 from dataclasses import replace
+from functools import lru_cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tonguemill import functions as fn
@@ -16,7 +19,7 @@ from tonguemill.plans.translation_run import TranslationRun
 from tonguemill.session import materialize, scratch_path
 from tonguemill.sources import corpus, positions, sinks
 from tonguemill.sources.corpus import CONFIG, ROW, SPLIT
-from tonguemill.streaming.incremental import read_new_files, translate_stream
+from tonguemill.streaming.incremental import once_per_key, read_new_files, translate_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +30,7 @@ CHUNKS_PER_FOLDER = 4
 CHUNKS_PER_WAVE = 40
 GUARD_TOKENS = 600
 TAG = "[es] "
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 
 def _tag(text: str) -> str:
@@ -399,6 +403,170 @@ def incremental_translate(spark, sf_dir):
     return spark.read.parquet(out).select("doc_id", "text", "text_status")
 
 
+# Cells that are missing or empty, files that are broken, keys that come twice: the same tables, made so
+
+
+def with_gaps(spark, sf_dir) -> DataFrame:
+    """Documents of which every seventh has no text, and the one after it an empty one; sources likewise by elevens."""
+    by_seven, by_eleven = F.col("doc_id") % 7, F.col("doc_id") % 11
+
+    def holed(column: str, rest: Column) -> Column:
+        return F.when(rest == 0, None).when(rest == 1, "").otherwise(F.col(column))
+
+    return documents(spark, sf_dir).withColumns({"text": holed("text", by_seven), "source": holed("source", by_eleven)})
+
+
+def non_null_values_with_gaps(spark, sf_dir):
+    return projection.non_null_values(with_gaps(spark, sf_dir), ["doc_id"], COST_ROLES)
+
+
+def translatable_with_gaps(spark, sf_dir):
+    docs = with_gaps(spark, sf_dir)
+    return docs.where(projection.translatable("text")).select(CONFIG, SPLIT, "doc_id", "text")
+
+
+def translate_with_gaps(spark, sf_dir):
+    """Two columns, with nulls and empty strings in both."""
+    docs = with_gaps(spark, sf_dir).select("doc_id", "source", "text")
+    return translate_columns(docs, ["doc_id"], Settings(FunctionTranslator(_tag)), ["source", "text"], with_status=True)
+
+
+def positions_in_files(spark, sf_dir):
+    """Positions found again from the files of written splits alone."""
+    path = scratch_path(spark, "data")
+    sinks.write_splits(languages(spark, sf_dir), path, rows_per_file=64)
+    return positions.position_in_files(corpus.read_corpus(spark, path).drop(ROW)).select(CONFIG, SPLIT, ROW, "doc_id")
+
+
+def unreadable_files(spark, sf_dir):
+    """What came of the files of a folder in which one is no Parquet file at all, and how many rows the others gave."""
+    path = scratch_path(spark, "files")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.coalesce("lang", F.lit("default")).alias("lang"))
+    docs.repartition("lang").write.partitionBy("lang").parquet(path)
+    broken = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/lang=broken/part-0.parquet")
+    file = broken.getFileSystem(spark._jsc.hadoopConfiguration()).create(broken, True)
+    file.writeBytes("this is no Parquet file, whatever its name says")
+    file.close()
+    rows, outcomes = corpus.read_files(spark, [(None, None, path)])
+    lang = F.regexp_extract("path", "lang=([^/]+)", 1).alias("lang")
+    judged = outcomes.groupBy(lang, "status").agg(F.sum("n_rows").alias("n_rows"))
+    found = rows.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("").alias("lang"), F.lit("rows").alias("status"), "n_rows")
+    return judged.unionByName(found)
+
+
+def bpe_tokens(spark, sf_dir):
+    """Byte-pair tokens of every document, by a vocabulary file that goes to the executors with the job."""
+    tokens = fn.bpe(fn.Vocabulary(VOCABULARY).ship(spark))
+    return documents(spark, sf_dir).select("doc_id", tokens("text").alias("n_tokens"))
+
+
+def cost_conversation_tokens(spark, sf_dir):
+    """Token counters of whole conversations as Python literals."""
+    counters = cost.cost_counters(conversation_cells(spark, sf_dir), ["conversations"])
+    return counters.select("total_tokens", "regular_input_tokens", "cached_input_tokens", "output_tokens")
+
+
+def preserved_separators(spark, sf_dir):
+    """Documents cut small by a policy that keeps what stood between the pieces, and put together from untouched replies."""
+    policy = segments.bytes_policy(limit=400, preserve_separators=True)
+    pieces = segments.explode_pieces(documents(spark, sf_dir), ["doc_id"], "text", policy)
+    parts = F.collect_list(F.struct(*segments.piece_fields(policy), "piece"))
+    largest = F.max(F.octet_length("piece"))
+    return pieces.groupBy("doc_id").agg(segments.joined_text(parts, policy).alias("text"), (largest <= policy.limit).alias("fits"))
+
+
+def calls_without_memo(spark, sf_dir):
+    """Calls made for the turns when equal texts share a reply, and when each is sent by itself."""
+    turns = _text_cells(turn_corpus(spark, sf_dir)).where(projection.translatable("text"))
+    keys = [CONFIG, SPLIT, ROW, "col"]
+    out = []
+    for shared in (True, False):
+        settings = Settings(FunctionTranslator(_tag), share_replies=shared).with_memo(spark)
+        places = () if shared else (*keys, "seg", "sub")
+        pieces = memo.with_digest(segments.explode_pieces(turns, keys, "text", settings.policy), places)
+        folders = memo.fill_memo(pieces, settings.translator, settings.policy, settings.memo)
+        calls = memo.read_replies(spark, folders).agg(F.sum("attempts").alias("n_calls"))
+        out.append(calls.select(F.lit(shared).alias("shared"), "n_calls"))
+    return out[0].unionByName(out[1])
+
+
+def memo_hits(spark, sf_dir):
+    """Which texts a second wave finds in the memo that a first one, over the odd documents, has filled."""
+    settings = Settings(FunctionTranslator(_tag)).with_memo(spark)
+    policy = settings.policy
+    pieces = memo.with_digest(segments.explode_pieces(documents(spark, sf_dir), ["doc_id"], "text", policy))
+    pieces = materialize(pieces, "pieces")
+    memo.fill_memo(pieces.where("doc_id % 2 = 1"), settings.translator, policy, settings.memo)
+    later = pieces.where("doc_id % 2 = 0")
+    folders = settings.memo.holding(later, settings.memo.commits(spark, memo.scope_of(settings.translator, policy)))
+    known = memo.read_replies(spark, folders).select("text_hash", F.lit(True).alias("known"))
+    numbers = [F.col(c).cast("bigint").alias(c) for c in ("seg", "sub")]
+    return later.join(known, "text_hash", "left").select("doc_id", *numbers, F.coalesce("known", F.lit(False)).alias("known"))
+
+
+class _Gauge:
+    """Replies with the number of calls going on in its process, and waits a little, so that others may begin."""
+
+    going = 0
+
+    def __call__(self, text: str) -> str:
+        with _gauge_lock():
+            _Gauge.going += 1
+            now = _Gauge.going
+        time.sleep(0.002)
+        with _gauge_lock():
+            _Gauge.going -= 1
+        return str(now)
+
+
+@lru_cache(maxsize=1)
+def _gauge_lock() -> threading.Lock:
+    return threading.Lock()
+
+
+def calls_in_flight(spark, sf_dir):
+    """The turns' texts called one at a time and up to ten at a time in a task: whether the bound holds, and is used."""
+    turns = memo.with_digest(table(spark, sf_dir, "conversations").select(F.col("text").alias("piece")).where("text <> ''"))
+    out = []
+    for most in (1, 10):
+        settings = Settings(FunctionTranslator(_Gauge())).with_memo(spark)
+        folders = memo.fill_memo(turns, settings.translator, settings.policy, settings.memo, concurrency=4, in_flight=most)
+        going = F.max(F.col("translated").cast("int"))
+        seen = memo.read_replies(spark, folders).agg(
+            F.count(F.lit(1)).alias("n_calls"), (going <= most).alias("within"), (going > 1).alias("overlapped"))
+        out.append(seen.select(F.lit(most).cast("bigint").alias("in_flight"), "n_calls", "within", "overlapped"))
+    return out[0].unionByName(out[1])
+
+
+def finished_ranges(spark, sf_dir):
+    """The union of two sets of finished chunks of other sizes, some of which overlap or touch."""
+    placed = languages(spark, sf_dir)
+    tens = positions.plan_chunks(placed, 10).where("chunk_id % 3 <> 2")
+    fifteens = positions.plan_chunks(placed, 15).where("chunk_id % 4 = 1")
+    return progress.finished_ranges(tens.unionByName(fifteens))
+
+
+def published_snapshot(spark, sf_dir):
+    """What readers see of a run whose second publication stopped half-way: the first, of the splits complete by then."""
+    run = _translation_run(spark, sf_dir, chunks_per_wave=1)
+    run.translate(max_waves=1)
+    run.finalize()
+    replace(run, chunks_per_wave=CHUNKS_PER_WAVE).translate()
+    run._write_version()  # and stops before the version is marked as whole
+    return run.output().select(CONFIG, SPLIT, ROW, "doc_id", "text")
+
+
+def stream_once_per_key(spark, sf_dir):
+    """Documents of which most arrive twice under the same keys: what a stream hands on."""
+    source, out, checkpoint = (scratch_path(spark, name) for name in ("in", "out", "stream"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    for part in (docs.where("doc_id % 3 <> 0"), docs):
+        part.coalesce(2).write.mode("append").parquet(source)
+        stream = once_per_key(read_new_files(spark, source, docs.schema), ["doc_id"], time_out="7 days")
+        translate_stream(stream, ["doc_id"], Settings(FunctionTranslator(_tag)), out, checkpoint, ["text"]).awaitTermination()
+    return spark.read.parquet(out).select("doc_id", "text", "text_status")
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -409,6 +577,10 @@ QUERIES: dict[str, Query] = {
         cost_estimate, cost_verdict, cost_by_split, cost_extrapolated, sample_first_n, memo_join, translate_text_column,
         token_guard, translate_conversation, batch_groups, batch_roundtrip, uniform_batches, chunk_progress,
         pending_chunks, finalize_split, resume_to_end, smoke_run, failed_rows, retry_attempts, config_list,
-        incremental_translate,
+        incremental_translate, non_null_values_with_gaps, translatable_with_gaps, translate_with_gaps, positions_in_files,
+        unreadable_files, cost_conversation_tokens, preserved_separators, calls_without_memo, memo_hits, calls_in_flight,
+        finished_ranges, published_snapshot, stream_once_per_key,
     )
 }
+# Queries that SQL cannot express; tests hold them against brute force.
+UNORACLED: dict[str, Query] = {"bpe_tokens": bpe_tokens}

@@ -152,6 +152,18 @@ _CHUNKS = f"""WITH {_LANGUAGES}
 _TRANSLATED_DOCS = f"""WITH {_byte_pieces('SELECT doc_id AS k0, text FROM documents')},
 done AS (SELECT k0 AS doc_id, {_rejoin(_TAGGED)} AS text FROM pieces GROUP BY k0)"""
 
+_GAPS = """holed AS (
+    SELECT coalesce(lang, 'default') AS config, coalesce(source, 'train') AS split, doc_id,
+           CASE doc_id % 7 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE text END AS text,
+           CASE doc_id % 11 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE source END AS source FROM documents
+)"""
+# A conversation as a Python literal: only blanks matter for its words, so which quotes stand round a value does not.
+_LITERALS = r"""literals AS (
+    SELECT conv_id, '[' || string_agg('{''from'': ''' || role || ''', ''value'': ''' ||
+        replace(replace(replace(text, chr(10), '\n'), chr(9), '\t'), chr(13), '\r') || '''}', ', ' ORDER BY turn) || ']' AS line
+    FROM conversations GROUP BY conv_id
+)"""
+
 ORACLE: dict[str, str] = {
     "corpus_scan": f"WITH {_DOCS} SELECT config, split, doc_id, text FROM docs",
     "config_select": f"WITH {_DOCS} SELECT config, split, doc_id FROM docs WHERE config IN ('en', 'es')",
@@ -288,4 +300,41 @@ ORACLE: dict[str, str] = {
         FROM pieces WHERE piece <> '' GROUP BY 1, 2""",
     "config_list": f"WITH {_DOCS} SELECT DISTINCT config FROM docs",
     "incremental_translate": f"{_TRANSLATED_DOCS} SELECT doc_id, text, 'translated' AS text_status FROM done",
+    "non_null_values_with_gaps": f"""WITH {_GAPS}
+        SELECT doc_id, 'source' AS col, 'system' AS role, source AS value FROM holed WHERE source IS NOT NULL
+        UNION ALL SELECT doc_id, 'text', 'text', text FROM holed WHERE text IS NOT NULL""",
+    "translatable_with_gaps": f"WITH {_GAPS} SELECT config, split, doc_id, text FROM holed WHERE text <> ''",
+    "translate_with_gaps": f"""{_TRANSLATED_DOCS}, {_GAPS}
+        SELECT h.doc_id, CASE WHEN h.text <> '' THEN done.text ELSE h.text END AS text,
+               CASE WHEN h.source <> '' THEN '[es] ' || h.source ELSE h.source END AS source,
+               CASE WHEN h.text <> '' THEN 'translated' ELSE 'unchanged' END AS text_status,
+               CASE WHEN h.source <> '' THEN 'translated' ELSE 'unchanged' END AS source_status
+        FROM holed h LEFT JOIN done USING (doc_id)""",
+    "positions_in_files": f"WITH {_LANGUAGES} SELECT config, split, row_idx, doc_id FROM placed",
+    "unreadable_files": """
+        SELECT coalesce(lang, 'default') AS lang, 'readable' AS status, count(*) AS n_rows FROM documents GROUP BY 1
+        UNION ALL SELECT 'broken', 'unreadable', 0 UNION ALL SELECT '', 'rows', count(*) FROM documents""",
+    "cost_conversation_tokens": f"""WITH {_LITERALS}, counted AS (SELECT {_words('line')} * 4 // 3 AS t FROM literals)
+        SELECT sum(t)::BIGINT AS total_tokens, sum(t * 33 // 100)::BIGINT AS regular_input_tokens,
+               0::BIGINT AS cached_input_tokens, sum(t - t * 33 // 100)::BIGINT AS output_tokens FROM counted""",
+    "preserved_separators": "SELECT doc_id, text, true AS fits FROM documents",
+    "calls_without_memo": f"""WITH {_byte_pieces(
+            "SELECT {'conv_id': conv_id, 'turn': turn} AS k0, text FROM conversations WHERE text <> ''")}
+        SELECT true AS shared, count(DISTINCT piece) AS n_calls FROM pieces WHERE piece <> ''
+        UNION ALL SELECT false, count(*) FROM pieces WHERE piece <> ''""",
+    "memo_hits": f"""WITH {_byte_pieces('SELECT doc_id AS k0, text FROM documents')}
+        SELECT k0 AS doc_id, seg, sub, piece <> '' AND piece IN (SELECT piece FROM pieces WHERE k0 % 2 = 1) AS known
+        FROM pieces WHERE k0 % 2 = 0""",
+    "calls_in_flight": """WITH c AS (SELECT count(DISTINCT text) AS n FROM conversations WHERE text <> '')
+        SELECT 1::BIGINT AS in_flight, n AS n_calls, true AS within, false AS overlapped FROM c
+        UNION ALL SELECT 10, n, true, true FROM c""",
+    "finished_ranges": f"""WITH {_LANGUAGES}, done AS (
+            SELECT config, split, row_idx, row_idx - row_number() OVER (PARTITION BY config, split ORDER BY row_idx) AS island
+            FROM placed WHERE row_idx // 10 % 3 <> 2 OR row_idx // 15 % 4 = 1)
+        SELECT config, split, min(row_idx) AS row_start, max(row_idx) + 1 AS row_end, count(*) AS n_positions
+        FROM done GROUP BY config, split, island""",
+    "published_snapshot": f"""{_TRANSLATED_DOCS}, {_LANGUAGES}, sized AS (
+            SELECT *, count(*) OVER (PARTITION BY config, split) AS n FROM placed)
+        SELECT config, split, row_idx, doc_id, done.text FROM sized JOIN done USING (doc_id) WHERE n <= 100""",
+    "stream_once_per_key": f"{_TRANSLATED_DOCS} SELECT doc_id, text, 'translated' AS text_status FROM done",
 }

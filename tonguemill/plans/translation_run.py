@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 from tonguemill.operators.batching import Batching
 from tonguemill.operators.memo import Memo
 from tonguemill.operators.progress import (
-    CHUNK,
     ProgressTable,
     chunk_progress,
-    pending_chunks,
+    finished_ranges,
+    outside,
     run_fingerprint,
     split_progress,
 )
@@ -25,10 +25,10 @@ from tonguemill.operators.sampling import smoke_rows
 from tonguemill.operators.segments import Policy
 from tonguemill.operators.translate import Settings, translate_columns
 from tonguemill.operators.translator import FAILED, Translator
-from tonguemill.session import materialize, remove, scratch_area
+from tonguemill.session import commit_folder, committed_folders, folders_in, materialize, remove, scratch_area
 from tonguemill.sources.corpus import CONFIG, ROW, SPLIT
-from tonguemill.sources.positions import assign_chunks, plan_chunks
-from tonguemill.sources.sinks import manifest, write_manifest, write_splits
+from tonguemill.sources.positions import plan_chunks
+from tonguemill.sources.sinks import MANIFEST, manifest, publish_splits, write_manifest, write_splits
 
 ROW_KEY = (CONFIG, SPLIT, ROW)
 # Fixed value: chunk size of a smoke test.
@@ -144,17 +144,15 @@ class TranslationRun:
         return worked
 
     def _pending_rows(self, start: int, end: int) -> DataFrame | None:
-        """Rows of a wave that no recorded chunk covers; None if it is finished."""
+        """Rows of a wave that no recorded range covers; None if it is finished."""
         rows = self.corpus.where((F.col(ROW) >= start) & (F.col(ROW) < end))
-        state = self.progress.read_run(self.spark, self.fingerprint)
-        done = state.where((F.col("row_start") >= start) & (F.col("row_start") < end))
+        state = self.progress.ranges_of_run(self.spark, self.fingerprint)
+        done = state.where((F.col("row_start") < end) & (F.col("row_end") > start))
         if done.isEmpty():
             return rows
-        pending = materialize(pending_chunks(plan_chunks(rows, self.chunk_size), done).select(*CHUNK), "pending")
-        if pending.isEmpty():
-            return None
-        left = assign_chunks(rows, self.chunk_size).join(pending, [*CHUNK], "left_semi")
-        return left.select(*self.corpus.columns)
+        done = materialize(finished_ranges(done), "finished")
+        left = outside(rows, done)
+        return None if outside(rows.select(*ROW_KEY), done).isEmpty() else left.select(*self.corpus.columns)
 
     def _translate_wave(self, rows: DataFrame, settings: Settings) -> None:
         attempt = uuid.uuid4().hex
@@ -162,7 +160,12 @@ class TranslationRun:
         # One folder per split: the wave is its unit of writing, the chunk that of progress.
         write_splits(translated, self._staged(attempt))
         staged = self._read_staged([attempt])
-        self.progress.append(chunk_progress(staged, self.chunk_size, list(self.chosen)), self.fingerprint, attempt)
+        finished = chunk_progress(staged, self.chunk_size, list(self.chosen))
+        self.progress.append(finished, self.fingerprint, attempt, self.chunk_size)
+
+    def finished_ranges(self) -> DataFrame:
+        """Which positions of every split are done."""
+        return finished_ranges(self.progress.ranges_of_run(self.spark, self.fingerprint))
 
     def _staged(self, attempt: str) -> str:
         return f"{self.work_dir}/staging/attempt={attempt}"
@@ -182,22 +185,57 @@ class TranslationRun:
         return split_progress(self.chunks(), state)
 
     def finalize(self) -> DataFrame:
-        """Write every complete split, the failures and the manifest; returns the written rows."""
+        """Publish every complete split, the failures and the manifest as one version; returns the written rows.
+
+        A version is a folder that readers see once it is marked as whole, which is the last thing written: all of
+        it or, after a stop, the version before. The waves' files are read and written in place, without an exchange.
+        """
+        self._commit(self._write_version())
+        return self.output()
+
+    def _write_version(self) -> str:
+        """The folder of a version that is written and not yet seen by readers."""
         splits = materialize(self.split_progress().select(CONFIG, SPLIT, "complete"), "splits")
         ready = splits.where("complete")
         if ready.isEmpty():
             raise ValueError("no split is complete")
-        state = self.progress.read_run(self.spark, self.fingerprint)
+        state = self.progress.ranges_of_run(self.spark, self.fingerprint)
         attempts = [r.attempt for r in state.select("attempt").distinct().collect()]  # one per wave
         staged = self._read_staged(attempts)
         if not splits.where("NOT complete").isEmpty():
             staged = staged.join(ready, [CONFIG, SPLIT], "left_semi")
         self._refuse_other_counts(staged, ready)
-        write_splits(staged.select(*self.corpus.columns), f"{self.work_dir}/data")
-        self._failures(staged).write.mode("overwrite").parquet(f"{self.work_dir}/failed")
-        written = self.output()
-        write_manifest(manifest(written, list(self.chosen)), f"{self.work_dir}/manifest")
-        return written
+        begun = folders_in(self.spark, f"{self.work_dir}/published")
+        number = 1 + max((int(name.removeprefix("version=")) for name in begun), default=0)
+        version = f"{self.work_dir}/published/version={number:08d}"
+        publish_splits(staged.select(*self.corpus.columns), f"{version}/data")
+        self._failures(staged).write.mode("error").parquet(f"{version}/failed")
+        write_manifest(manifest(self._read_data(version), list(self.chosen)), f"{version}/manifest")
+        return version
+
+    def _commit(self, version: str) -> None:
+        commit_folder(self.spark, version)
+
+    def versions(self) -> list[str]:
+        """Folders of the published versions, the newest last."""
+        return committed_folders(self.spark, f"{self.work_dir}/published/version=*")
+
+    def _published(self) -> str:
+        versions = self.versions()
+        if not versions:
+            raise ValueError("nothing is published yet")
+        return versions[-1]
+
+    def _read_data(self, version: str) -> DataFrame:
+        written = self.spark.read.schema(self.corpus.schema).parquet(f"{version}/data")
+        return written.select(*self.corpus.columns)
+
+    def retire_versions(self) -> None:
+        """Delete all versions but the newest published one; call it when no reader uses them any more."""
+        newest = self._published().rsplit("/", 1)[1]
+        for name in folders_in(self.spark, f"{self.work_dir}/published"):
+            if name < newest:
+                remove(self.spark, f"{self.work_dir}/published/{name}")
 
     def _refuse_other_counts(self, staged: DataFrame, ready: DataFrame) -> None:
         """A split is written only with as many rows as were planned for it."""
@@ -214,11 +252,14 @@ class TranslationRun:
         return staged.select(*ROW_KEY, F.inline(F.array(*outcome))).where(F.col("status") == FAILED)
 
     def output(self) -> DataFrame:
-        written = self.spark.read.schema(self.corpus.schema).parquet(f"{self.work_dir}/data")
-        return written.select(*self.corpus.columns)
+        return self._read_data(self._published())
+
+    def manifest(self) -> DataFrame:
+        """config_name and data_files of the newest version; paths are within its folder."""
+        return self.spark.read.schema(MANIFEST).json(f"{self._published()}/manifest")
 
     def failed(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.work_dir}/failed")
+        return self.spark.read.parquet(f"{self._published()}/failed")
 
     def run(self) -> DataFrame:
         self.translate()

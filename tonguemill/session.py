@@ -71,6 +71,14 @@ def committed_folders(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(mark.getPath().getParent().toString() for mark in found or [])
 
 
+def folders_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none if there is no such folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = system.listStatus(folder) if system.exists(folder) else []
+    return [entry.getPath().getName() for entry in found if entry.isDirectory()]
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder on whatever file system it is."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tonguemill.sources.corpus import CONFIG, ROW, SPLIT
+from tonguemill.session import folders_in, remove
+from tonguemill.sources.corpus import CONFIG, RANGE, ROW, SPLIT
 from tonguemill.sources.positions import assign_chunks
 
 # Characters that Spark escapes in names of partition folders, the escape mark first.
@@ -20,6 +21,10 @@ def _folder_name(name: str) -> Column:
     return column
 
 
+def _partition(name: str) -> Column:
+    return F.concat(F.lit(f"{name}="), _folder_name(name))
+
+
 def _with_names(df: DataFrame) -> DataFrame:
     """Refuses empty names: as a folder they would be read back as no name at all."""
 
@@ -35,38 +40,72 @@ def stage_chunks(df: DataFrame, path: str, chunk_size: int, chunks_per_folder: i
 
     A group is `chunks_per_folder` consecutive chunks. One chunk per folder is the unit that small
     corpora want; at scale a folder per hundred rows would drown the file system, so raise the number
-    (or the chunk size) until a group fills a file or more. Rows are range partitioned by position:
-    a task writes a few neighbouring groups, and a large split spreads over all tasks.
+    (or the chunk size) until a group fills a file or more. The group follows from `row_idx` and groups are dealt
+    by a hash, so nothing is sampled, `df` is evaluated once, and a large split spreads over all tasks.
     """
     group = F.floor(F.col("chunk_id") / F.lit(chunks_per_folder)).cast("bigint")
+    keys = (CONFIG, SPLIT, "chunk_group")
     (
         assign_chunks(_with_names(df), chunk_size)
         .withColumn("chunk_group", group)
-        .repartitionByRange(CONFIG, SPLIT, ROW)
-        .sortWithinPartitions(CONFIG, SPLIT, ROW)
+        .repartition(*keys)
+        .sortWithinPartitions(*keys, ROW)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(CONFIG, SPLIT, "chunk_group")
+        .partitionBy(*keys)
         .parquet(path)
     )
 
 
-def write_splits(df: DataFrame, path: str, n_partitions: int | None = None) -> None:
-    """Write `path/config=/split=/` with rows in position order.
+# Digits of a folder's first position, so that folders sort by name as by position.
+RANGE_DIGITS = 12
+
+
+def _with_range(df: DataFrame, rows_per_file: int) -> DataFrame:
+    first = F.floor(F.col(ROW) / F.lit(rows_per_file)).cast("bigint") * rows_per_file
+    return _with_names(df).withColumn(RANGE, F.lpad(first.cast("string"), RANGE_DIGITS, "0"))
+
+
+def write_splits(df: DataFrame, path: str, n_partitions: int | None = None, rows_per_file: int = 100_000) -> None:
+    """Write `path/config=/split=/row_range=/` with rows in position order.
+
+    A split becomes a folder of ranges of `rows_per_file` positions. Which range a row goes to follows from its
+    `row_idx`, and ranges are dealt by a hash: nothing is sampled, `df` is evaluated once, no task holds a whole
+    large split, and a later filter on `row_idx` skips files by their statistics. A split that was there before
+    is replaced whole.
+    """
+    ranged = _with_range(df, rows_per_file)
+    keys = (CONFIG, SPLIT, RANGE)
+    dealt = ranged.repartition(n_partitions, *keys) if n_partitions else ranged.repartition(*keys)
+    _write_ranges(dealt, path)
+
 
-    A split becomes a folder of files, each a range of positions, so that no task holds a whole
-    split and a later filter on `row_idx` skips files by their statistics.
+def publish_splits(df: DataFrame, path: str, rows_per_file: int = 100_000) -> None:
+    """As `write_splits`, for rows that stored files already hold in ranges of positions: no exchange.
+
+    Each task writes what it reads, sorted by itself. Ranges that several files share get a file from each.
     """
-    keys = (CONFIG, SPLIT, ROW)
-    df = _with_names(df)
-    ranged = df.repartitionByRange(n_partitions, *keys) if n_partitions else df.repartitionByRange(*keys)
+    _write_ranges(_with_range(df, rows_per_file), path)
+
+
+def _write_ranges(ranged: DataFrame, path: str) -> None:
+    spark = ranged.sparkSession
+    keys = (CONFIG, SPLIT, RANGE)
+    seen = Observation("written ranges")
+    folder = F.concat(_partition(CONFIG), F.lit("/"), _partition(SPLIT), F.lit(f"/{RANGE}="), F.col(RANGE))
     (
-        ranged.sortWithinPartitions(*keys)
+        ranged.observe(seen, F.array_join(F.collect_set(folder), "\n").alias("folders"))  # each is written, so each is known
+        .sortWithinPartitions(*keys, ROW)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(CONFIG, SPLIT)
+        .partitionBy(*keys)
         .parquet(path)
     )
+    written = {f for f in (seen.get["folders"] or "").split("\n") if f}
+    for split in sorted({f.rsplit("/", 1)[0] for f in written}):
+        for old in folders_in(spark, f"{path}/{split}"):
+            if f"{split}/{old}" not in written:
+                remove(spark, f"{path}/{split}/{old}")
 
 
 def manifest(df: DataFrame, text_columns: list[str], root: str = "data") -> DataFrame:
@@ -75,7 +114,7 @@ def manifest(df: DataFrame, text_columns: list[str], root: str = "data") -> Data
     Configs without rows do not appear.
     """
     sizes = [F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c in text_columns]
-    path = F.concat(F.lit(f"{root}/config="), _folder_name(CONFIG), F.lit("/split="), _folder_name(SPLIT))
+    path = F.concat(F.lit(f"{root}/"), _partition(CONFIG), F.lit("/"), _partition(SPLIT))
     return (
         df.groupBy(CONFIG, SPLIT)
         .agg(F.count(F.lit(1)).alias("n_rows"), sum(sizes, F.lit(0)).cast("bigint").alias("n_bytes"))
@@ -84,6 +123,9 @@ def manifest(df: DataFrame, text_columns: list[str], root: str = "data") -> Data
     )
 
 
+MANIFEST = "config_name string, data_files array<struct<split: string, path: string>>"
+
+
 def write_manifest(entries: DataFrame, path: str) -> None:
     """Store as JSON lines: one config per line with its `data_files`, sorted by split."""
     files = F.transform(

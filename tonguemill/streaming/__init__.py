@@ -1,3 +1,3 @@
-from tonguemill.streaming.incremental import read_new_files, translate_stream
+from tonguemill.streaming.incremental import once_per_key, read_new_files, translate_stream
 
-__all__ = ["read_new_files", "translate_stream"]
+__all__ = ["once_per_key", "read_new_files", "translate_stream"]

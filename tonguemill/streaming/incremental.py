@@ -6,9 +6,11 @@ from collections.abc import Sequence
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tonguemill.functions.text import text_digest
 from tonguemill.operators.memo import Memo
 from tonguemill.operators.projection import Roles
 from tonguemill.operators.translate import Settings, translate_columns
@@ -27,6 +29,26 @@ def read_new_files(
     return reader.parquet(path)
 
 
+# Column of a stream that `once_per_key` adds and takes away.
+ARRIVED = "_arrived"
+
+
+def once_per_key(stream: DataFrame, keys: Sequence[str], texts: Sequence[str] = (), time_out: str | None = None) -> DataFrame:
+    """Rows whose key no earlier row of the stream had; later ones are skipped, also in later files and after a restart.
+
+    With `texts`, a row is skipped only if those columns repeat as well; their digests, not the texts, are the state. The state is
+    keyed and checkpointed by Spark, one entry a key. `time_out` (such as `7 days`) forgets a key so long after it was seen, which
+    bounds the state by the rows of that time; a key that comes back later is then a new one. Null keys are keys like others.
+    """
+    digests = {f"_digest_{t}": text_digest(t) for t in texts}
+    state = [*keys, *digests]
+    keyed = stream.withColumns(digests) if digests else stream
+    if time_out is None:
+        return keyed.dropDuplicates(state).drop(*digests)
+    arrived = keyed.withColumn(ARRIVED, F.current_timestamp()).withWatermark(ARRIVED, time_out)
+    return arrived.dropDuplicatesWithinWatermark(state).drop(ARRIVED, *digests)
+
+
 def translate_stream(
     stream: DataFrame,
     keys: Sequence[str],
