@@ -163,11 +163,9 @@ def hot_texts(index: DataFrame, share: float = HOT_SHARE, min_rows: int = 1) ->
     A hot text takes more than `share` of all rows, so the result has fewer than 1/share rows whatever
     the data, and salting cuts each hot text into parts of at most `share` of all rows (`min_rows` at least).
     """
-    counts = materialize(index.groupBy("text_hash").agg(F.count(F.lit(1)).alias("n")), "lookups")
-    n_lookups = counts.agg(F.sum("n")).first()[0] or 0
-    limit = max(min_rows, int(n_lookups * share))
-    hot = counts.where(F.col("n") > limit)
-    hot = materialize(hot.select("text_hash", F.ceil(F.col("n") / limit).cast("int").alias("n_salts")), "hot")
+    limit = max(min_rows, int(index.count() * share))
+    counts = index.groupBy("text_hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit)
+    hot = materialize(counts.select("text_hash", F.ceil(F.col("n") / limit).cast("int").alias("n_salts")), "hot")
     return None if hot.isEmpty() else hot
 
 

@@ -130,7 +130,7 @@ class TranslationRun:
         settings = self.settings
         if settings.memo is None:
             settings = replace(settings, memo=Memo(f"{self.work_dir}/memo"))
-        if self.progress.read_run(self.spark, self.fingerprint).isEmpty():
+        if self.progress.ranges_of_run(self.spark, self.fingerprint).isEmpty():
             self._record()
         worked = 0
         for start, end in self.waves():
@@ -146,8 +146,7 @@ class TranslationRun:
     def _pending_rows(self, start: int, end: int) -> DataFrame | None:
         """Rows of a wave that no recorded range covers; None if it is finished."""
         rows = self.corpus.where((F.col(ROW) >= start) & (F.col(ROW) < end))
-        state = self.progress.ranges_of_run(self.spark, self.fingerprint)
-        done = state.where((F.col("row_start") < end) & (F.col("row_end") > start))
+        done = self.progress.ranges(self.spark).where((F.col("row_start") < end) & (F.col("row_end") > start))
         if done.isEmpty():
             return rows
         done = materialize(finished_ranges(done), "finished")
@@ -195,14 +194,15 @@ class TranslationRun:
 
     def _write_version(self) -> str:
         """The folder of a version that is written and not yet seen by readers."""
-        splits = materialize(self.split_progress().select(CONFIG, SPLIT, "complete"), "splits")
-        ready = splits.where("complete")
-        if ready.isEmpty():
+        splits = materialize(self.split_progress().select(CONFIG, SPLIT, "n_rows", "complete"), "splits")
+        found = splits.agg(F.count_if("complete").alias("ready"), F.count(F.lit(1)).alias("all")).first()
+        if not found.ready:
             raise ValueError("no split is complete")
-        state = self.progress.ranges_of_run(self.spark, self.fingerprint)
+        ready = splits.where("complete")
+        state = self.progress.ranges(self.spark)
         attempts = [r.attempt for r in state.select("attempt").distinct().collect()]  # one per wave
         staged = self._read_staged(attempts)
-        if not splits.where("NOT complete").isEmpty():
+        if found.ready < found["all"]:
             staged = staged.join(ready, [CONFIG, SPLIT], "left_semi")
         self._refuse_other_counts(staged, ready)
         begun = folders_in(self.spark, f"{self.work_dir}/published")
@@ -239,9 +239,8 @@ class TranslationRun:
 
     def _refuse_other_counts(self, staged: DataFrame, ready: DataFrame) -> None:
         """A split is written only with as many rows as were planned for it."""
-        planned = self.split_progress().select(CONFIG, SPLIT, "n_rows").join(ready, [CONFIG, SPLIT], "left_semi")
         found = staged.groupBy(CONFIG, SPLIT).agg(F.count(F.lit(1)).alias("n_staged"))
-        other = planned.join(found, [CONFIG, SPLIT], "left").where(F.coalesce("n_staged", F.lit(0)) != F.col("n_rows"))
+        other = ready.join(found, [CONFIG, SPLIT], "left").where(F.coalesce("n_staged", F.lit(0)) != F.col("n_rows"))
         if not other.isEmpty():
             raise ValueError("a finished split has other rows staged than planned")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -13,16 +15,17 @@ from tonguemill.sources.positions import assign_chunks
 ESCAPED = "%\"#'*/:=?\\{[]^\x7f" + "".join(map(chr, range(1, 32)))
 
 
-def _folder_name(name: str) -> Column:
-    """A config's or split's name as it is written in a path."""
-    column = F.col(name)
+@cache
+def _folder_name(name: str) -> str:
+    """A config's or split's name as it is written in a path, as SQL."""
+    sql = name
     for mark in ESCAPED:
-        column = F.replace(column, F.lit(mark), F.lit(f"%{ord(mark):02X}"))
-    return column
+        sql = f"replace({sql}, char({ord(mark)}), '%{ord(mark):02X}')"
+    return sql
 
 
 def _partition(name: str) -> Column:
-    return F.concat(F.lit(f"{name}="), _folder_name(name))
+    return F.concat(F.lit(f"{name}="), F.expr(_folder_name(name)))
 
 
 def _with_names(df: DataFrame) -> DataFrame:
