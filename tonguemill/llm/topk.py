@@ -1,7 +1,7 @@
 """Exact top-k search on a bit-sliced index.
 
-Vectors are quantised to integers.  A block of the index keeps, for every attribute, one bitmap of rows per bit ("slice") of its
-coarse value, the value without its low bits.  For a query, the slices of all attributes are added with bitmap
+Vectors are quantised to integers.  A block of the index stores, for every attribute, one bitmap of rows per bit ("slice") of its
+coarse value, the value without its low bits; blocks are built once and read by every chunk of queries.  For a query, the slices of all attributes are added with bitmap
 arithmetic (carry-save adders), each as often as the query's component has a binary digit set, which gives the slices of
 every row's coarse score.  The k-th coarse score is found from the most significant slice downward, and so are
 the rows that may be as good once the low bits count; only these boundary rows are scored exactly.
@@ -30,20 +30,19 @@ class Index:
     scale: int = 256
     dropped: int = 3
     block_rows: int = 32_768
-    chunk: int = 256
+    chunk: int = 1024
 
 
-INDEXED = "block int, ids binary, values binary, width int, bytes int"
-FOUND = "query_id long, vec_id long, score long"
+INDEXED = "block int, ids array<long>, values binary, width int, bytes int, low binary, bits binary, slices binary"
+FOUND = "query long, query_id long, vec_id long, score long, own long"
 
 
 def quantised(vectors: DataFrame, scale: int) -> DataFrame:
-    """vec_id and the integer vector.  Vectors that are null, or hold null or non-finite components, and null ids take no part;
-    rows with the same id and the same integers are one."""
+    """vec_id and the integer vector of every row.  Vectors that are null, or hold null or non-finite components, take no part."""
     finite = F.col("embedding").isNotNull() & ~F.coalesce(
         F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) == float("inf"))), F.lit(False))
     value = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("long"))
-    return vectors.filter(finite & F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long").alias("vec_id"), value.alias("v")).distinct()
+    return vectors.filter(finite).select(F.col("vec_id").cast("long").alias("vec_id"), value.alias("v"))
 
 
 def _matrix(lists: pa.ChunkedArray) -> np.ndarray:
@@ -58,36 +57,53 @@ def _matrix(lists: pa.ChunkedArray) -> np.ndarray:
 
 
 def build_index(vectors: DataFrame, how: Index) -> DataFrame:
-    """One row per block: ids and integer vectors, in order of id.  Blocks are dealt by a hash, so their sizes are even."""
-    blocks = max(1, -(-vectors.count() // how.block_rows))
+    """One row per block: ids and integer vectors in order of id, null ids last, and the slices.  Rows are dealt by a hash and, so that
+    copies do not meet in one block, by a number of their own."""
+    numbered = materialize(vectors.withColumn("n", F.monotonically_increasing_id()), "numbered")
+    blocks = max(1, -(-numbered.count() // how.block_rows))
 
     def run(key: tuple, frame: pa.Table) -> pa.Table:
-        frame = frame.sort_by("vec_id")
-        values = _matrix(frame.column("v"))
-        ids = frame.column("vec_id").to_numpy()
+        ids = frame.column("vec_id")
+        order = np.lexsort((ids.fill_null(0).to_numpy(), ids.is_null().to_numpy()))
+        ids, values = ids.take(pa.array(order)).combine_chunks(), _matrix(frame.column("v"))[order]
+        block = Block.build(values, how.dropped)
+        slices = [s for mine in block.slices for s in mine]
         return pa.table({
-            "block": pa.array([key[0].as_py()], pa.int32()), "ids": pa.array([ids.tobytes()], pa.binary()),
+            "block": pa.array([key[0].as_py()], pa.int32()), "ids": pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
             "values": pa.array([values.tobytes()], pa.binary()), "width": pa.array([values.shape[1]], pa.int32()),
-            "bytes": pa.array([values.itemsize], pa.int32())})
+            "bytes": pa.array([values.itemsize], pa.int32()), "low": pa.array([block.low.astype(np.int64).tobytes()], pa.binary()),
+            "bits": pa.array([bytes(block.bits)], pa.binary()), "slices": pa.array([b"".join(s.tobytes() for s in slices)], pa.binary())})
 
-    dealt = vectors.withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)).cast("int"))
+    dealt = numbered.select("vec_id", "v", F.pmod(F.xxhash64("vec_id", "v", "n"), F.lit(blocks)).cast("int").alias("block"))
     return dealt.groupBy("block").applyInArrow(run, INDEXED)
 
 
 class Block:
     """A block of the index in memory: exact values, and bitmaps of the coarse ones."""
 
-    def __init__(self, ids: np.ndarray, values: np.ndarray, dropped: int) -> None:
-        self.ids, self.values = ids, values.astype(np.int64)
-        values = self.values
-        self.low = values.min(axis=0, initial=0)
-        shifted = (values - self.low) >> dropped
-        self.bits = [int(c).bit_length() for c in shifted.max(axis=0, initial=0)]
-        self.dropped = dropped
-        self.words = -(-len(ids) // 64)
-        self.full = self._bitmap(np.ones(len(ids), bool))
+    def __init__(self, values: np.ndarray, low: np.ndarray, bits: list[int], dropped: int) -> None:
+        self.values, self.low, self.bits, self.dropped = values.astype(np.int64), low, bits, dropped
+        self.words = -(-len(values) // 64)
+        self.full = self._bitmap(np.ones(len(values), bool))
+        self.slices: list[list[np.ndarray]] = []
+
+    @classmethod
+    def build(cls, values: np.ndarray, dropped: int) -> Block:
+        values = values.astype(np.int64)
+        low = values.min(axis=0, initial=0)
+        shifted = (values - low) >> dropped
+        self = cls(values, low, [int(c).bit_length() for c in shifted.max(axis=0, initial=0)], dropped)
         self.slices = [[self._bitmap((shifted[:, d] >> b) & 1) for b in range(n)] for d, n in enumerate(self.bits)]
+        return self
+
+    @classmethod
+    def stored(cls, row: dict, dropped: int) -> Block:
+        values = np.frombuffer(row["values"], f"i{row['bytes']}").reshape(len(row["ids"]), row["width"])
+        self = cls(values, np.frombuffer(row["low"], np.int64), list(row["bits"]), dropped)
+        slices = iter(np.frombuffer(row["slices"], np.uint64).reshape(-1, self.words) if sum(self.bits) else ())
+        self.slices = [[next(slices) for _ in range(n)] for n in self.bits]
         self.inverse = [[self.full & ~s for s in mine] for mine in self.slices]
+        return self
 
     def _bitmap(self, rows: np.ndarray) -> np.ndarray:
         packed = np.packbits(rows.astype(bool), bitorder="little")
@@ -125,21 +141,15 @@ class Block:
             at += 1
         return out
 
-    def top(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """ids and exact scores of the block's k best rows, but for the query's own row."""
+    def top(self, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The block's k best rows, earlier ones first among equals, and their exact scores."""
         width = self.values.shape[1]
         query = query[:width]
         query = np.pad(query, (0, width - len(query)))
-        alive = self.full
-        own = np.flatnonzero(self.ids == query_id)
-        if len(own):
-            mask = np.zeros(len(self.ids), bool)
-            mask[own] = True
-            alive = self.full & ~self._bitmap(mask)
-        rows = self._candidates(self.coarse_sum(query), int(np.abs(query).sum()) * ((1 << self.dropped) - 1), alive, k)
+        rows = self._candidates(self.coarse_sum(query), int(np.abs(query).sum()) * ((1 << self.dropped) - 1), self.full, k)
         scores = self.values[rows] @ query
-        best = np.lexsort((self.ids[rows], -scores))[:k]
-        return self.ids[rows[best]], scores[best]
+        best = np.lexsort((rows, -scores))[:k]
+        return rows[best], scores[best]
 
     def _candidates(self, slices: list[np.ndarray], slack: int, alive: np.ndarray, k: int) -> np.ndarray:
         """Rows whose coarse score is within the slack of the k-th best: the low bits decide among them."""
@@ -165,35 +175,45 @@ class Block:
         return self._rows(above | equal)
 
     def _rows(self, bitmap: np.ndarray) -> np.ndarray:
-        return np.flatnonzero(np.unpackbits(bitmap.view(np.uint8), bitorder="little")[: len(self.ids)])
+        return np.flatnonzero(np.unpackbits(bitmap.view(np.uint8), bitorder="little")[: len(self.values)])
 
 
 def search(vectors: DataFrame, queries: DataFrame, how: Index = Index()) -> DataFrame:
     """query_id, rank, vec_id and score: the k best rows of `vectors` for every row of `queries`, ties to the smaller id.
 
-    Both hold vec_id and embedding.  A query's own id is no answer to it.  Shorter vectors are read as ending in zeros.
+    Both hold vec_id and embedding; other columns take no part.  Rows are candidates of their own, also where they repeat or have no
+    id (these come last among equal scores); a query is not answered by its own row, but by copies of it.  Queries that repeat are
+    answered each.  Vectors that are null or hold null or non-finite components take no part, shorter ones are read as ending in zeros,
+    and a very long one makes its block as wide.  No rows on either side give none.
+
     Every block of the index meets every chunk of queries, in a group of its own that holds one block and at most about
-    `chunk` queries; it returns k rows per query, of which the best are kept.
+    `chunk` queries; it returns k + 1 rows per query, of which the best are kept.  The query's own row is one with its id and the
+    score of the query with itself; it is left out once, at the end.
     """
-    index = materialize(build_index(materialize(quantised(vectors, how.scale), "vectors"), how), "index")
-    asked = materialize(quantised(queries, how.scale), "queries")
+    index = materialize(build_index(quantised(vectors, how.scale), how), "index")
+    asked = materialize(quantised(queries, how.scale).withColumn("query", F.monotonically_increasing_id()), "queries")
     chunks, blocks = max(1, -(-asked.count() // how.chunk)), max(1, index.count())
-    chunk = F.pmod(F.xxhash64("vec_id"), F.lit(chunks)).cast("int")
+    chunk = F.pmod(F.xxhash64("query"), F.lit(chunks)).cast("int")
     stored = index.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
     asked = asked.withColumn("chunk", chunk).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        found: list[tuple[int, int, int]] = []
+        found: list[tuple] = []
         if left.num_rows and right.num_rows:
             row, queries = left.to_pylist()[0], _matrix(right.column("v")).astype(np.int64)
-            ids = np.frombuffer(row["ids"], np.int64)
-            values = np.frombuffer(row["values"], f"i{row['bytes']}").reshape(len(ids), row["width"])
-            block = Block(ids, values, how.dropped)
-            for query_id, query in zip(right.column("vec_id").to_pylist(), queries):
-                best, scores = block.top(query_id, query, how.k)
-                found += zip([query_id] * len(best), best.tolist(), scores.tolist())
-        return pa.table({n: pa.array(list(c), pa.int64()) for n, c in zip(("query_id", "vec_id", "score"), list(zip(*found)) or [(), (), ()])})
+            block, ids = Block.stored(row, how.dropped), row["ids"]
+            for number, query_id, query in zip(right.column("query").to_pylist(), right.column("vec_id").to_pylist(), queries):
+                rows, scores = block.top(query, how.k + 1)  # one may be the query's own
+                own = int(query @ query)
+                found += [(number, query_id, ids[r], s, own) for r, s in zip(rows.tolist(), scores.tolist())]
+        columns = list(zip(*found)) or [()] * 5
+        return pa.table({n: pa.array(list(c), pa.int64()) for n, c in zip(("query", "query_id", "vec_id", "score", "own"), columns)})
 
     found = stored.groupBy("block", "chunk").cogroup(asked.groupBy("block", "chunk")).applyInArrow(run, FOUND)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= how.k).select("query_id", "rank", "vec_id", "score")
+    best = Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"))
+    found = found.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= how.k + 1)
+    own = F.col("query_id").eqNullSafe(F.col("vec_id")) & (F.col("score") == F.col("own"))
+    so_far = F.count_if("mine").over(Window.partitionBy("query").orderBy("place"))
+    found = found.withColumn("mine", own).withColumn("so_far", so_far).filter(~(F.col("mine") & (F.col("so_far") == 1)))
+    rank = (F.col("place") - F.least(F.lit(1), F.col("so_far"))).cast("int")
+    return found.withColumn("rank", rank).filter(F.col("rank") <= how.k).select("query_id", "rank", "vec_id", "score")
