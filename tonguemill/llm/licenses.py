@@ -7,6 +7,7 @@ library matches the notice with bounded errors and gives edits and span.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,6 +40,40 @@ NOTICES = (
     ("cc-by-sa", "licensed under cc by sa 4 0"),
     ("cc-by", "licensed under cc by 4 0"),
     ("cc", "licensed under a creative commons attribution"),
+    ("cc-by-sa", "this work is licensed under a creative commons attribution sharealike 4 0 international license"),
+    ("cc-by-nc", "this work is licensed under a creative commons attribution noncommercial 4 0 international license"),
+    ("cc-by-nd", "this work is licensed under a creative commons attribution noderivatives 4 0 international license"),
+    ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license"),
+    ("cc0", "to the extent possible under law the author has waived all copyright and related or neighboring rights"),
+    ("mit", "this project is licensed under the terms of the mit license"),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies"),
+    ("mit", "distributed under the mit software license"),
+    ("apache", "you may not use this file except in compliance with the license you may obtain a copy of the license at"),
+    ("apache", "released under the apache 2 0 license"),
+    ("bsd", "use of this source code is governed by a bsd style license"),
+    ("bsd", "licensed under the bsd 3 clause license"),
+    ("bsd", "licensed under the bsd 2 clause license"),
+    ("bsd", "neither the name of the copyright holder nor the names of its contributors may be used to endorse"),
+    ("gpl", "this program is free software you can redistribute it and or modify it"),
+    ("gpl", "licensed under the gnu general public license version 2"),
+    ("lgpl", "this library is free software you can redistribute it and or modify it"),
+    ("lgpl", "licensed under the gnu lesser general public license"),
+    ("agpl", "licensed under the gnu affero general public license"),
+    ("fdl", "under the terms of the gnu free documentation license"),
+    ("mpl", "this source code form is subject to the terms of the mozilla public license"),
+    ("epl", "licensed under the eclipse public license version 2 0"),
+    ("eupl", "licensed under the european union public licence"),
+    ("cddl", "subject to the terms of the common development and distribution license"),
+    ("boost", "distributed under the boost software license version 1 0"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable"),
+    ("artistic", "licensed under the artistic license version 2 0"),
+    ("ofl", "this font software is licensed under the sil open font license version 1 1"),
+    ("psf", "licensed under the python software foundation license version 2"),
+    ("postgresql", "released under the postgresql license"),
+    ("odbl", "made available under the open database license"),
+    ("wtfpl", "under the terms of the do what the fuck you want to public license"),
+    ("unlicense", "anyone is free to copy modify publish use compile sell or distribute this software"),
+    ("proprietary", "all rights reserved no part of this publication may be reproduced"),
 )
 ERROR_SHARE = 14  # one edit for so many letters; seeds are then at least seven letters long
 
@@ -63,6 +98,8 @@ class Automaton:
     def __init__(self, scanner: Scanner) -> None:
         self.pieces = ahocorasick.Automaton()
         self.notices = []
+        self.texts = [notice for _, notice in scanner.notices]
+        self.letters = [Counter(notice) for notice in self.texts]
         found: dict[str, list[tuple[int, int]]] = {}
         for k, (label, notice) in enumerate(scanner.notices):
             edits = max(1, len(notice) // scanner.error_share)
@@ -76,29 +113,46 @@ class Automaton:
         self.pieces.make_automaton()
 
     def search(self, text: str) -> list[tuple[str, int, int, int]]:
-        """label, start, end and edits of the notices, by start; windows round the seeds of a notice are joined."""
-        windows: dict[int, list[list[int]]] = {}
+        """label, start, end and edits of the notices, by start.  Each place that seeds point to is verified in a window of its own."""
+        seeds: dict[int, list[tuple[int, int]]] = {}
+        whole: list[tuple[str, int, int, int]] = []
         for last, (length, where) in self.pieces.iter(text):
             for k, offset in where:
-                _, size, edits, _ = self.notices[k]
-                start = max(0, last + 1 - length - offset - edits)
-                mine = windows.setdefault(k, [])
-                end = start + size + 2 * edits + 1
-                if mine and start <= mine[-1][1]:
-                    mine[-1][1] = max(mine[-1][1], end)
-                else:
-                    mine.append([start, end])
+                seeds.setdefault(k, []).append((last + 1 - length - offset, last))
+                if not offset and self._stands(k, text, last + 1 - length):
+                    whole.append((self.notices[k][0], last + 1 - length, last + 1 - length + self.notices[k][1], 0))
+        exact = bytearray(len(text)) if whole else b""
+        for _, start, end, _ in whole:
+            exact[start:end] = b"\1" * (end - start)
         out = []
-        for k, mine in windows.items():
+        for k, mine in seeds.items():
             label, size, edits, pattern = self.notices[k]
-            for start, end in mine:
-                lead = max(0, start - 1)
-                for m in pattern.finditer(text, lead, min(len(text), end + 1)):
+            if whole:  # what overlaps a notice without edits has more of them, and is not the wording there
+                mine = [x for x in mine if not exact[x[1]]]
+            mine.sort()
+            at = 0
+            while at < len(mine):
+                # Seeds of one place imply starts that differ by the edits between them; each place has a window of its own.
+                first = last = mine[at][0]
+                while at < len(mine) and mine[at][0] - first <= 2 * edits:
+                    last = mine[at][0]
+                    at += 1
+                begin, end = max(0, first - edits - 1), last + size + 2 * edits + 2
+                # An edit takes at most one letter of the notice away.
+                if (self.letters[k] - Counter(text[begin:end])).total() > edits:
+                    continue
+                m = pattern.search(text, begin, end)
+                if m and (m.end() < end or text[end : end + 1] in ("", " ")):  # a word that the window cuts off has not ended
                     a, b = m.span()
                     while a < b and text[a] == " ":
                         a += 1
                     out.append((label, a, b, sum(m.fuzzy_counts)))
-        return nearest(out)
+        return nearest(out + whole)
+
+    def _stands(self, k: int, text: str, start: int) -> bool:
+        """Whether the notice stands at `start` without edits, as whole words."""
+        end = start + self.notices[k][1]
+        return text.startswith(self.texts[k], start) and (not start or text[start - 1] == " ") and text[end : end + 1] in ("", " ")
 
 
 def nearest(found: list[tuple[str, int, int, int]]) -> list[tuple[str, int, int, int]]:
@@ -181,7 +235,9 @@ def scan_text(text: bytes | None, automaton: Automaton) -> tuple:
 def scan(docs: DataFrame, scanner: Scanner = Scanner()) -> DataFrame:
     """A row for every row of `docs`: the base phrases' places, the labels, and the notices with spans and edits.
 
-    A null text is an empty one without words; ids may be null or repeat; no rows give none.
+    A null text is an empty one without words; ids may be null or repeat, each row is scanned by itself, and other columns take
+    no part.  Notices that overlap with as many edits and letters are all kept.  A very long text is scanned whole, by work in
+    proportion to its length and to the places that seeds point to.  No rows give none.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
