@@ -41,21 +41,43 @@ RATE = 0.1
 SPAN = "array<struct<start:long,end:long,found:string>>"
 
 
+def _bind(value: Column, use) -> Column:
+    """`use(value)` with the value computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _blocks(items: Column) -> Column:
+    """An array cut into about sqrt(n) arrays.  A list that grows one by one is copied each time; within blocks it stays short."""
+    size = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(items).cast("double"))).cast("int"))
+    return _bind(size, lambda b: F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(items) - 1), b), lambda i: F.slice(items, i + 1, b)))
+
+
+def _running(lengths: Column) -> Column:
+    """0 and the running sums of an array of about sqrt(n) numbers."""
+    start = F.array(F.lit(0).cast("long"))
+    return F.aggregate(lengths, start, lambda s, x: F.concat(s, F.array(F.element_at(s, -1) + x)))
+
+
 def _matches(text: Column, pattern: str) -> Column:
     """Leftmost matches in order, as start and end in code points and the match itself.
 
-    What lies between matches and the matches are read in turn, which gives the places.
+    What lies between matches and the matches are read in turn, which gives the places: block by block, so that the work grows
+    with n times sqrt(n) of the matches and not with their square.
     """
     pieces = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"))
-    begin = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(SPAN).alias("out"))
+    length = lambda p: F.length(p["gap"]).cast("long") + F.coalesce(F.length(p["found"]), F.lit(0))
 
     def step(s: Column, p: Column) -> Column:
-        start = s["at"] + F.length(p["gap"])
-        end = start + F.coalesce(F.length(p["found"]), F.lit(0))
+        start, end = s["at"] + F.length(p["gap"]), s["at"] + length(p)
         one = F.struct(start.cast("long").alias("start"), end.cast("long").alias("end"), p["found"].alias("found"))
         return F.struct(end.cast("long").alias("at"), F.when(p["found"].isNull(), s["out"]).otherwise(F.concat(s["out"], F.array(one))).alias("out"))
 
-    return F.when(F.rlike(text, F.lit(pattern)), F.aggregate(pieces, begin, step, lambda s: s["out"])).otherwise(F.array().cast(SPAN))
+    def placed(blocks: Column) -> Column:
+        sums = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0).cast("long"), lambda a, p: a + length(p)))
+        begin = lambda at: F.struct(at.alias("at"), F.array().cast(SPAN).alias("out"))
+        return _bind(_running(sums), lambda starts: F.flatten(F.transform(blocks, lambda b, i: F.aggregate(b, begin(F.get(starts, i)), step, lambda s: s["out"]))))
+
+    return F.when(F.rlike(text, F.lit(pattern)), _bind(pieces, lambda p: _bind(_blocks(p), placed))).otherwise(F.array().cast(SPAN))
 
 
 def base_spans(text: Column) -> dict[str, Column]:
@@ -72,10 +94,6 @@ def _upper_tail(z: Column) -> Column:
     return F.greatest(F.lit(1e-15), 1 / (1 + F.exp(1.5976 * x + 0.07056 * x**3)))
 
 
-def _bind(value: Column, use) -> Column:
-    return F.transform(F.array(value), use)[0]
-
-
 def _p_value(symbols: Column, size: Column) -> Column:
     """Fisher's combination of the three tests for a token given as places in an alphabet of `size`."""
     n = F.size(symbols).cast("double")
@@ -165,8 +183,17 @@ def secret_spans(text: Column, cut: dict[str, int]) -> Column:
     random = F.filter(_tokens(text), lambda m: m["test"]["bin"] >= F.coalesce(lowest[m["test"]["stratum"]], F.lit(BINS)))
 
     def with_random(known: Column) -> Column:
-        new = F.filter(random, lambda m: ~F.exists(known, lambda k: (k["start"] < m["end"]) & (m["start"] < k["end"])))
-        return F.array_sort(F.concat(known, as_kind(new, 3)))
+        """Blocks of known spans are passed over whole where a token lies outside of them."""
+        parts = F.transform(_blocks(known), lambda b: F.struct(
+            F.array_min(F.transform(b, lambda k: k["start"])).alias("low"), F.array_max(F.transform(b, lambda k: k["end"])).alias("high"), b.alias("spans")))
+
+        def clear(blocks: Column) -> Column:
+            meets = lambda m, low, high: (low < m["end"]) & (m["start"] < high)
+            taken = lambda m: F.exists(blocks, lambda b: F.coalesce(meets(m, b["low"], b["high"]), F.lit(False))
+                                       & F.exists(b["spans"], lambda k: meets(m, k["start"], k["end"])))
+            return F.array_sort(F.concat(known, as_kind(F.filter(random, lambda m: ~taken(m)), 3)))
+
+        return _bind(parts, clear)
 
     return _bind(known, with_random)
 
@@ -178,7 +205,8 @@ def spelled(spans: Column) -> Column:
 def scan(docs: DataFrame, rate: float = RATE) -> DataFrame:
     """One row per row of `docs`: doc_id, the numbers and digest of base spans, and all spans.
 
-    A null text is an empty one; rows that repeat, ties and null ids are rows like others; no rows give none.
+    A null text is an empty one; rows that repeat, ties and null ids are rows like others, and other columns take no part.  A very
+    long text is scanned whole, by work that grows with n times sqrt(n) of its matches.  No rows give none.
     """
     found = docs.select("doc_id", secret_spans(F.col("text"), cuts(docs, rate)).alias("all"))
     count = lambda kind: F.size(F.filter("all", lambda s: s["kind"] == kind)).cast("long")
@@ -190,16 +218,38 @@ def scan(docs: DataFrame, rate: float = RATE) -> DataFrame:
 
 
 def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
-    """The text with every stretch that spans cover replaced by the mark; spans are in order of start."""
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
+    """The text with every stretch that spans cover replaced by the mark; spans are in order of start.
 
-    def step(s: Column, p: Column) -> Column:
-        gap = F.when(p["start"] < s["at"], F.array().cast("array<string>")).otherwise(
-            F.array(F.substring(text, (s["at"] + 1).cast("int"), (p["start"] - s["at"]).cast("int")), F.lit(mark)))
-        return F.struct(F.greatest(s["at"], p["end"]).alias("at"), F.concat(s["out"], gap).alias("out"))
+    A block of spans works on its own stretch of the text, from where the spans before it end.
+    """
+    part = lambda source, a, b: F.substring(source, (a + 1).cast("int"), F.greatest(F.lit(0), b - a).cast("int"))
+
+    def masked(block: Column, first: Column, last: Column) -> Column:
+        """The text from `first` to `last`, the ends of all spans before the block and of the block's own."""
+
+        def within(mine: Column) -> Column:
+            start = F.struct(first.alias("at"), F.array().cast("array<string>").alias("out"))
+
+            def step(s: Column, p: Column) -> Column:
+                gap = F.when(p["start"] < s["at"], F.array().cast("array<string>")).otherwise(
+                    F.array(part(mine, s["at"] - first, p["start"] - first), F.lit(mark)))
+                return F.struct(F.greatest(s["at"], p["end"]).alias("at"), F.concat(s["out"], gap).alias("out"))
+
+            return F.aggregate(block, start, step, lambda s: F.array_join(s["out"], ""))
+
+        return _bind(part(text, first, last), within)
+
+    def joined(blocks: Column) -> Column:
+        ends = F.transform(blocks, lambda b: F.array_max(F.transform(b, lambda p: p["end"])))
+        reach = F.aggregate(ends, F.array(F.lit(0).cast("long")), lambda s, e: F.concat(s, F.array(F.greatest(F.element_at(s, -1), e))))
+
+        def assemble(reach: Column) -> Column:
+            rest = F.substring(text, (F.element_at(reach, -1) + 1).cast("int"), F.lit(2**31 - 1))
+            return F.concat(F.array_join(F.transform(blocks, lambda b, i: masked(b, F.get(reach, i), F.get(reach, i + 1))), ""), rest)
+
+        return _bind(reach, assemble)
 
-    rest = lambda s: F.concat(F.array_join(s["out"], ""), F.substring(text, (s["at"] + 1).cast("int"), F.lit(2**31 - 1)))
-    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(spans, start, step, rest))
+    return F.when(F.size(spans) == 0, text).otherwise(_bind(_blocks(spans), joined))
 
 
 def without_secrets(docs: DataFrame, rate: float = RATE) -> DataFrame:
