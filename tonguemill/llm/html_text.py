@@ -49,24 +49,43 @@ LAYOUT = frozenset(
     "nav navbar navigation menu header masthead footer sidebar aside breadcrumb breadcrumbs pagination pager toolbar widget form search "
     "skip".split()
 )
+#: Those that are ordinary words too: a name with them counts only if all its words are of this kind (`share-buttons`, not
+#: `share-price`).
+WEAK = frozenset(
+    "menu header aside notice notices alert share sharing social related recommended promo promotion subscribe subscription signup login "
+    "form search skip widget reply replies respond discussion reviews responses feedback".split()
+)
+NAMING = frozenset(
+    "bar box block button buttons list links link icon icons item items area panel section container wrapper wrap inner outer slot unit "
+    "top bottom left right main site page post posts article articles entry story content body text title more reader readers user users "
+    "media group row col column grid field fields input toggle tools tool message messages your you may also like news stories reads".split()
+)
+#: Names for what belongs to an article: `entry-header` holds its title.
+OF_ARTICLE = frozenset("article post entry story".split())
 #: Words round which a class says what a container has or is for (`with-sidebar`, `comments-open`), not what it is.
 STATES = frozenset("with has no without open closed enabled disabled on off".split())
 PLACES = frozenset("content main page layout wrap wrapper container site article post body".split())
-COMMENTS = frozenset("comment comments commentlist disqus respond replies reply discussion".split())
+COMMENTS = frozenset("comment comments commentlist disqus respond replies reply discussion responses feedback reviews".split())
+#: Names of inline elements whose text is no part of the paragraph round them.
+INLINE_OUT = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo share sharing social newsletter subscribe signup login cookie "
+    "consent popup modal".split()
+)
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog alertdialog menu menubar".split())
 
 _TAG = re.compile(r"""(?:[^'">]|"[^"]*"|'[^']*')*+>""")
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 _MARKS = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
 _WORD = re.compile(r"[a-z]+")
+_HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")  # UserComments is user-comments
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
 
 class Element:
-    __slots__ = ("name", "parent", "children", "marks", "points", "length", "linked", "out")
+    __slots__ = ("name", "parent", "children", "marks", "points", "length", "linked", "out", "mute")
 
-    def __init__(self, name: str, parent: Element | None, marks: str = "") -> None:
-        self.name, self.parent, self.marks = name, parent, marks
+    def __init__(self, name: str, parent: Element | None, marks: str = "", mute: bool = False) -> None:
+        self.name, self.parent, self.marks, self.mute = name, parent, marks, mute
         self.children: list[Element | Block] = []
         self.points, self.length, self.linked, self.out = 0.0, 0, 0, False
 
@@ -82,12 +101,12 @@ def parse(page: str) -> Element:
     """The tree of a page.  Broken markup is read as browsers read it: what is open at the end is closed there."""
     root = here = Element("html", None)
     pieces: list[str] = []
-    links = linked = 0
+    links = linked = muted = 0
 
     def end_block() -> None:
         nonlocal linked
         if pieces:
-            text = " ".join(html.unescape("".join(pieces)).split())
+            text = " ".join("".join(pieces).split())
             if text:
                 owner = here
                 while owner.name not in BLOCKS and owner.parent:
@@ -101,8 +120,8 @@ def parse(page: str) -> Element:
         cut = page.find("<", at)
         if cut < 0:
             cut = size
-        if cut > at:
-            pieces.append(page[at:cut])
+        if cut > at and not muted:
+            pieces.append(html.unescape(page[at:cut]))  # a reference ends where a tag begins
             if links:
                 linked += cut - at
         if cut == size:
@@ -122,7 +141,8 @@ def parse(page: str) -> Element:
         closing = following == "/"
         name = _NAME.match(page, cut + 1 + closing)
         if not name:
-            pieces.append("<")
+            if not muted:
+                pieces.append("<")
             at = cut + 1
             continue
         tag = _TAG.match(page, name.end())
@@ -143,6 +163,7 @@ def parse(page: str) -> Element:
                 step = here
                 while step is not found.parent:
                     links -= step.name == "a"
+                    muted -= step.mute
                     step = step.parent
                 here = found.parent
             continue
@@ -158,6 +179,7 @@ def parse(page: str) -> Element:
                 step = here
                 while step is not last.parent:
                     links -= step.name == "a"
+                    muted -= step.mute
                     step = step.parent
                 here = last.parent
         elif kind == "br":
@@ -173,7 +195,10 @@ def parse(page: str) -> Element:
             continue
         if kind == "a":
             links += 1
-        element = Element(kind, here, page[name.end() : end - 1])
+        marks = page[name.end() : end - 1]
+        mute = kind not in BLOCKS and (kind in NO_TEXT or bool(marks) and _mute(marks))
+        muted += mute
+        element = Element(kind, here, marks, mute)
         here.children.append(element)
         here = element
     end_block()
@@ -188,33 +213,66 @@ def any_open(here: Element | None, kind: str) -> bool:
     return False
 
 
+def _read_marks(marks: str) -> Iterator[tuple[str, str]]:
+    for m in _MARKS.finditer(marks):
+        yield m.group(1).lower(), _HUMP.sub("-", m.group(2) or m.group(3) or m.group(4) or "").lower()
+
+
+def _unseen(key: str, value: str) -> bool:
+    return key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and bool(_HIDDEN.search(value))
+
+
+def _mute(marks: str) -> bool:
+    """Whether an inline element's text is not shown, or is an advert or the like by a whole name of its class."""
+    return any(_unseen(key, value) or key == "class" and not INLINE_OUT.isdisjoint(value.split()) for key, value in _read_marks(marks))
+
+
+def _name_says(token: str, bad: frozenset[str]) -> str:
+    """What one name in a class or id says: `yes`, `layout`, `state`, or nothing."""
+    words = set(_WORD.findall(token))
+    found = words & bad
+    if not found or words & STATES:
+        return ""
+    if found <= WEAK and any(w not in bad and w not in NAMING and w not in PLACES and len(w) > 2 for w in words):
+        return ""
+    if words & OF_ARTICLE and found <= {"header"}:
+        return ""
+    if found <= LAYOUT:
+        return "state" if words & PLACES else "layout"
+    return "yes"
+
+
 def _leave_out(element: Element) -> str:
-    """Whether an element's name, class, id or role says that it is no part of an article: `yes`, or `layout` and `state` where
-    only words of layout say so, or only classes that tell what the element has; else empty."""
+    """Whether an element's name, class, id or role says that it is no part of an article: `yes`, or `layout` where only words of
+    layout say so, and `state` where these stand with the name of a place; else empty.
+
+    Headings and paragraphs are not judged by their id, which names what they are about, nor sections unless it is a whole word;
+    a header of an article is part of it.
+    """
     if element.name in NO_TEXT:
         return "yes"
-    if element.name == "header" and not (any_open(element, "article") or any_open(element, "main")):
+    heads_article = element.name == "header" and (any_open(element, "article") or any_open(element, "main"))
+    if element.name == "header" and not heads_article:
         return "yes"
     if not element.marks or element.name in ("html", "body"):
         return ""
-    bad = COMMENTS if element.name in ("article", "main") else COMMENTS | NOT_ARTICLE
+    bad = COMMENTS - WEAK if element.name in ("article", "main") else COMMENTS | NOT_ARTICLE
+    text = element.name in HEADINGS or element.name in ("p", "pre", "blockquote")
     found = ""
-    for m in _MARKS.finditer(element.marks):
-        key, value = m.group(1).lower(), (m.group(2) or m.group(3) or m.group(4) or "").lower()
-        if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and _HIDDEN.search(value):
+    for key, value in _read_marks(element.marks):
+        if _unseen(key, value):
             return "yes"
         if key == "role" and value in ROLES:
             return "yes"
-        if key in ("class", "id"):
-            for token in value.split():
-                words = set(_WORD.findall(token))
-                if words & bad:
-                    if words & STATES or words & PLACES and not words & bad - LAYOUT:
-                        found = found or "state"
-                    elif words & bad - LAYOUT:
-                        return "yes"
-                    else:
-                        found = "layout"
+        if heads_article or key not in ("class", "id") or key == "id" and text:
+            continue
+        for token in value.split():
+            if key == "id" and element.name == "section" and token not in bad:
+                continue
+            says = _name_says(token, bad)
+            if says == "yes":
+                return says
+            found = "layout" if "layout" in (says, found) else says or found
     return found
 
 
@@ -385,7 +443,12 @@ def _best(root: Element, elements: list[Element]) -> list[Element | Block]:
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """page_id, url, text and n_chars for every row of `pages`, whatever is null in it; no rows give none."""
+    """page_id, url, text and n_chars for every row of `pages`.
+
+    A null or empty page has an empty text; ids and urls may be null or repeat, each row is read by itself, and other columns take no
+    part.  A very long page is read whole, in time and memory in proportion to it.  Containers that earn the same points go by
+    page order.  No rows give none.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
