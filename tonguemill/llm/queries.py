@@ -16,7 +16,9 @@ def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    drawn = F.transform("draws", lambda d: F.concat_ws(":", *[d[part].cast("string") for part in ("shard", "pass", "words")]))
+    return mixed.withColumn("draws", F.array_join(drawn, ","))
 
 
 def op3_token_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
