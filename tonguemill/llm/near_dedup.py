@@ -341,8 +341,10 @@ class _Search:
 def groups(docs: DataFrame, how: MinHash = MinHash()) -> DataFrame:
     """A row for every row of `docs`: doc_id, n_shingles, component_id, kept.
 
-    Null or blank texts have an empty set and are linked with nothing.  Rows with a null doc_id take no part: they have no
-    component and are kept.  Rows that share a doc_id are one document, whose links are pooled.  No rows give none.
+    Null or blank texts have an empty set and are linked with nothing.  Rows with a null doc_id look for no links: one has the
+    component of the documents with the same set, if there are any, and is then not kept; else it has none and is kept.  Rows that
+    share a doc_id are one document, whose links are pooled.  Other columns take no part.  A very long text is read whole, in memory
+    in proportion to it.  No rows give none.
     """
     search = _Search(docs, how)
     search.run()
@@ -352,7 +354,7 @@ def groups(docs: DataFrame, how: MinHash = MinHash()) -> DataFrame:
     component = F.coalesce("component_id", "doc")
     return rows.select(
         F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"),
-        F.coalesce(F.col("doc") == component, F.lit(True)).alias("kept"), F.col("key").alias("text_key"))
+        F.col("doc").eqNullSafe(component).alias("kept"), F.col("key").alias("text_key"))
 
 
 def _keys(docs: DataFrame) -> DataFrame:
