@@ -63,7 +63,11 @@ class PieceCounter:
 
 
 def lengths(docs: DataFrame, how: BytePairs = BytePairs()) -> DataFrame:
-    """n_tokens and docs: the histogram.  Tasks count before anything is shuffled; null texts have no tokens."""
+    """n_tokens and docs: the histogram.  Tasks count before anything is shuffled.
+
+    Null and empty texts have no tokens; rows that repeat count each, ids and other columns take no part.  A very long text is
+    counted whole, piece by piece.  No rows give none.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter, seen = how.counter(), {}
@@ -97,15 +101,13 @@ def suffix_sums(histogram: DataFrame) -> DataFrame:
 
 
 def totals(sums: DataFrame, limits: list[int]) -> DataFrame:
-    """For any context limits: documents over them, tokens left after the cut, tokens lost; one row per limit."""
-    spark = sums.sparkSession
-    wanted = spark.createDataFrame([(int(x),) for x in limits], "limit long")
-    nearest = sums.join(F.broadcast(wanted), F.col("n_tokens") > F.col("limit"), "right").groupBy("limit")
-    nearest = nearest.agg(F.min(F.struct("n_tokens", "docs_at_least", "tokens_at_least")).alias("over"))
-    whole = sums.agg(F.max("tokens_at_least").alias("all_tokens"))
+    """For any context limits: documents over them, tokens left after the cut, tokens lost; one row per limit, from one pass."""
+    over = [F.min(F.when(F.col("n_tokens") > limit, F.struct("n_tokens", "docs_at_least", "tokens_at_least"))) for limit in limits]
+    found = [F.struct(F.lit(int(limit)).cast("long").alias("limit"), x.alias("over")) for limit, x in zip(limits, over)]
+    whole = F.coalesce(F.max("tokens_at_least"), F.lit(0)).alias("all_tokens")
+    each = sums.agg(whole, F.array(*found).alias("found")).select("all_tokens", F.inline("found"))
     lost = F.coalesce(F.col("over.tokens_at_least") - F.col("limit") * F.col("over.docs_at_least"), F.lit(0))
-    joined = nearest.join(F.broadcast(whole))
-    return joined.select("limit", F.coalesce("over.docs_at_least", F.lit(0)).alias("docs_over"), (F.coalesce("all_tokens", F.lit(0)) - lost).alias("truncated_total"), lost.alias("tokens_lost"))
+    return each.select("limit", F.coalesce("over.docs_at_least", F.lit(0)).alias("docs_over"), (F.col("all_tokens") - lost).alias("truncated_total"), lost.alias("tokens_lost"))
 
 
 def token_lengths(spark, sf_dir: str) -> DataFrame:

@@ -336,7 +336,12 @@ def labelled_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def score(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.7) -> DataFrame:
-    """doc_id, score and predicted for every row of `docs`; null and empty texts get the score of no hit."""
+    """doc_id, score and predicted for every row of `docs`.
+
+    Null and empty texts get the score of no hit.  A row's score depends on its text alone: rows that repeat score alike, ids may be
+    null or repeat, other columns take no part, and a score just at the threshold is predicted.  Where entries of a word tie in
+    length, each stands for the same beginning.  A very long text is matched whole.  No rows give none.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = lexicon.matcher()
