@@ -243,6 +243,38 @@ def test_links_just_over_the_threshold_are_kept(spark):
     assert got == {i: i - i % 2 for i in range(n)}
 
 
+# --- passages ------------------------------------------------------------------------------------------------------
+
+
+def test_passages_of_over_fifty_words(spark):
+    """Words in runs of 51 words that also start elsewhere, whatever bytes stand between them or how many they have."""
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choice("abcd") for _ in range(rng.randint(1, 3)))
+    some = lambda n: [f"{word()}{rng.randrange(10**6)}" for _ in range(n)]
+    passages = [[word() for _ in range(n)] for n in (49, 50, 51, 52, 60, 200)]
+    texts = []
+    for _ in range(50):
+        parts = some(rng.randint(0, 30))
+        for _ in range(rng.randint(0, 3)):
+            parts += rng.choice(passages) + some(rng.randint(0, 5))
+        texts.append(rng.choice([" ", "\n", "  "]).join(parts))
+    texts += [None, "", texts[3]]
+    docs = make(spark, [(i, t, "a") for i, t in enumerate(texts)])
+    words = [(t or "").encode().split() for t in texts]
+    seen = Counter(tuple(w[i : i + 51]) for w in words for i in range(len(w) - 50))
+    want = {}
+    for n, w in enumerate(words):
+        inside = bytearray(len(w))
+        for i in range(len(w) - 50):
+            if seen[tuple(w[i : i + 51])] > 1:
+                inside[i : i + 51] = b"x" * 51
+        want[n] = (inside.count(b"x"), len(inside.replace(b"\0", b" ").split()))
+    for how in (repeats.PASSAGE, repeats.Repeats(length=204, anchor=60, words=True, most=2, bucket=9)):
+        got = {r.doc_id: (r.n_passage_words, r.n_passages) for r in repeats.report(docs, passage=how).collect()}
+        assert got == want
+    assert sum(n > 0 for n, _ in want.values()) > 15
+
+
 # --- very long texts -----------------------------------------------------------------------------------------------
 
 

@@ -39,7 +39,7 @@ def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_long_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.report(table(spark, sf_dir, "documents"))
+    return repeats.report(table(spark, sf_dir, "documents"), passage=repeats.PASSAGE)
 
 
 def op8_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:

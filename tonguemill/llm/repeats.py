@@ -13,6 +13,9 @@ where one reaches 400, the window that starts in this column is marked.
 
 Contexts of different anchors share a task, about `bucket` of them.  An anchor with more than `most` contexts is not
 put into one task: hashes of its windows are counted instead, which gives the same marks.
+
+The same search runs a second time on texts written as four bytes a word, for passages of so many words that also stand elsewhere:
+these may have fewer bytes than are asked for.  They are reported and nothing of them is removed.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -36,15 +40,30 @@ _PLACE = np.uint64((1 << 20) - 1)
 
 @dataclass(frozen=True)
 class Repeats:
+    """length: bytes of a string that must not repeat; words: whether texts are read as words of four bytes each."""
+
     length: int = 400
     anchor: int = 200
     bucket: int = 3000
     most: int = 4096
+    words: bool = False
 
     @property
     def reach(self) -> int:
         return self.length - self.anchor + 1
 
+    def units(self, text: bytes | None) -> bytes:
+        """What is searched of a text: its bytes, or checksums of its words between blanks."""
+        if not text or not self.words:
+            return text or b""
+        words = text.split()
+        return np.fromiter(map(crc32, words), np.uint32, len(words)).tobytes()
+
+
+WORD_BYTES = 4
+#: Passages of over 50 words.
+PASSAGE = Repeats(length=51 * WORD_BYTES, anchor=15 * WORD_BYTES, words=True)
+
 
 # --- anchors -------------------------------------------------------------------------------------------------------
 
@@ -108,8 +127,8 @@ def document_contexts(texts: DataFrame, how: Repeats) -> DataFrame:
             parts: list[tuple[np.ndarray, ...]] = []
             names: list[np.ndarray] = []
             for row, text in enumerate(batch.column(2)):
-                text = text.as_py()
-                for part in contexts(text, how, hasher) if text and len(text) >= how.length else ():
+                text = how.units(text.as_py())
+                for part in contexts(text, how, hasher) if len(text) >= how.length else ():
                     ends = part[1] + part[2] + how.length - 1
                     spans = zip(part[1].tolist(), ends.tolist(), part[3].tolist())
                     names.append(np.array([xxhash.xxh3_64_intdigest(text[a:b], place) for a, b, place in spans], np.uint64).view(np.int64))
@@ -199,7 +218,7 @@ def _examples(texts: DataFrame, wanted: DataFrame, how: Repeats) -> DataFrame:
         for batch in batches:
             rows = []
             for text, found in zip(batch.column(0), batch.column(1)):
-                text = text.as_py()
+                text = how.units(text.as_py())
                 rows += [{**{k: c[k] for k in ("anchor", "context", "n", "place")}, "string": text[c["first"] : c["first"] + c["n"] + how.length - 1]} for c in found.as_py()]
                 if len(rows) > 5000:
                     yield _record(rows)
@@ -297,34 +316,45 @@ def merged(starts: list[dict[str, int]], length: int) -> list[tuple[int, int]]:
     return out
 
 
-REPORT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+REPORT = {"doc_id": pa.int64(), "n_bytes": pa.int64(), "n_removed": pa.int64(), "n_spans": pa.int64(), "kept_sha256": pa.string()}
+PASSAGES = {"n_passage_words": pa.int64(), "n_passages": pa.int64()}
 
 
-def report(docs: DataFrame, how: Repeats = Repeats()) -> DataFrame:
-    """One row per row of `docs`: bytes, bytes removed, maximal removed runs, and the digest of the rest.
+def report(docs: DataFrame, how: Repeats = Repeats(), passage: Repeats | None = None) -> DataFrame:
+    """One row per row of `docs`: bytes, bytes removed, maximal removed runs, and the digest of the rest; with `passage`, also the words
+    in passages of that many words that stand elsewhere too, and how many such runs of words there are.
 
-    A null text is empty.  Rows that repeat are copies of each other; ids may be null or repeat.  No rows give none.
+    A null text is empty.  Rows that repeat are copies of each other; ids may be null or repeat; other columns take no part.  A very
+    long text is read whole, in segments.  No rows give none.
     """
-    _, spans = repeated_spans(docs, how)
-    lists = materialize(spans.distinct().groupBy("doc", "key").agg(F.collect_list(F.struct("a", "b")).alias("starts")), "starts")
+    lists = None
+    for name, each in (("starts", how), ("passages", passage)):
+        if each:
+            spans = repeated_spans(docs, each)[1].distinct()
+            found = materialize(spans.groupBy("doc", "key").agg(F.collect_list(F.struct("a", "b")).alias(name)), name)
+            lists = lists.join(found, ["doc", "key"], "full") if lists else found
+    asked = ["starts", "passages"] if passage else ["starts"]
+    lists = materialize(lists, "lists") if passage else lists
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(utf8("text"), F.lit("").cast("binary")).alias("text"),
                        F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")).alias("d"), text_key("text").alias("k"))
-    joined = rows.join(lists, (F.col("doc") == F.col("d")) & (F.col("key") == F.col("k")), "left").select("doc_id", "text", "starts")
+    joined = rows.join(lists, (F.col("doc") == F.col("d")) & (F.col("key") == F.col("k")), "left").select("doc_id", "text", *asked)
+    schema = pa.schema(list({**REPORT, **(PASSAGES if passage else {})}.items()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for text, starts in zip(batch.column(1), batch.column(2)):
+            for text, *starts in zip(*batch.columns[1:]):
                 text, digest, at, removed = text.as_py(), hashlib.sha256(), 0, 0
-                runs = merged(starts.as_py() or [], how.length)
+                runs = merged(starts[0].as_py() or [], how.length)
                 for a, b in runs:
                     digest.update(text[at:a])
                     at, removed = b, removed + b - a
                 digest.update(text[at:])
-                rows.append((len(text), removed, len(runs), digest.hexdigest()))
-            columns = list(zip(*rows)) or [()] * 4
-            kinds = [pa.int64()] * 3 + [pa.string()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(list(c), k) for c, k in zip(columns, kinds)]],
-                                             names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
-
-    return joined.mapInArrow(run, REPORT)
+                words = merged(starts[1].as_py() or [], passage.length) if passage else []
+                more = (sum(b - a for a, b in words) // WORD_BYTES, len(words)) if passage else ()
+                rows.append((len(text), removed, len(runs), digest.hexdigest(), *more))
+            columns = list(zip(*rows)) or [()] * (len(schema) - 1)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(list(c), f.type) for c, f in zip(columns, list(schema)[1:])]], schema=schema)
+
+    kinds = {pa.int64(): "long", pa.string(): "string"}
+    return joined.mapInArrow(run, ", ".join(f"{f.name} {kinds[f.type]}" for f in schema))
