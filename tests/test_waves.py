@@ -193,6 +193,23 @@ def test_readers_see_a_version_whole_or_not_at_all(spark, corpus, tmp_path, fake
     assert len(run.versions()) == 1 and len(contents(run.output())) == 26
 
 
+def test_a_version_without_a_complete_split_has_no_rows(spark, corpus, tmp_path, fake):
+    run = TranslationRun(corpus.where("split = 'a'"), str(tmp_path / "run"), Settings(fake()), ["text"], 5, 1)
+    assert run.finalize().count() == 0 and len(run.versions()) == 1  # before any wave
+    run.translate(max_waves=1)
+    assert run.finalize().columns == corpus.columns and run.output().count() == 0
+    assert run.failed().count() == run.manifest().count() == 0
+    run.translate()
+    run._write_version()  # not marked as whole, so not seen
+    assert run.output().count() == 0
+    assert len(contents(run.finalize())) == 23 and len(run.versions()) == 3
+
+
+def test_a_run_over_no_rows_gives_none(spark, corpus, tmp_path, fake):
+    run = TranslationRun(corpus.limit(0), str(tmp_path / "run"), Settings(fake()), ["text"], 5, 1)
+    assert run.run().count() == 0 and run.failed().count() == 0
+
+
 # Progress
 
 

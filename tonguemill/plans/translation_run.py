@@ -174,6 +174,8 @@ class TranslationRun:
         statuses = [f"{c}_status" for c in self.chosen]
         fields = [*self.corpus.columns, *statuses]
         types = {f.name: f.dataType for f in self.corpus.schema.fields}
+        if not attempts:
+            return self.corpus.limit(0).select("*", *[F.lit(None).cast("string").alias(s) for s in statuses])
         staged = self.spark.read.option("basePath", f"{self.work_dir}/staging").parquet(
             *[self._staged(a) for a in attempts]
         )
@@ -188,6 +190,7 @@ class TranslationRun:
 
         A version is a folder that readers see once it is marked as whole, which is the last thing written: all of
         it or, after a stop, the version before. The waves' files are read and written in place, without an exchange.
+        While no split is complete, a version has no rows.
         """
         self._commit(self._write_version())
         return self.output()
@@ -195,14 +198,11 @@ class TranslationRun:
     def _write_version(self) -> str:
         """The folder of a version that is written and not yet seen by readers."""
         splits = materialize(self.split_progress().select(CONFIG, SPLIT, "n_rows", "complete"), "splits")
-        found = splits.agg(F.count_if("complete").alias("ready"), F.count(F.lit(1)).alias("all")).first()
-        if not found.ready:
-            raise ValueError("no split is complete")
         ready = splits.where("complete")
         state = self.progress.ranges(self.spark)
         attempts = [r.attempt for r in state.select("attempt").distinct().collect()]  # one per wave
         staged = self._read_staged(attempts)
-        if found.ready < found["all"]:
+        if not splits.where("NOT complete").isEmpty():
             staged = staged.join(ready, [CONFIG, SPLIT], "left_semi")
         self._refuse_other_counts(staged, ready)
         begun = folders_in(self.spark, f"{self.work_dir}/published")
