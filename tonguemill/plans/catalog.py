@@ -397,7 +397,8 @@ def retry_attempts(spark, sf_dir):
 def incremental_translate(spark, sf_dir):
     out, checkpoint = scratch_path(spark, "out"), scratch_path(spark, "stream")
     schema = table(spark, sf_dir, "documents").select("doc_id", "text").schema
-    stream = read_new_files(spark, sf_dir, schema, name_filter="documents.parquet")
+    # A glob, as a plain path must be a folder: the table may be one file or a folder of many.
+    stream = read_new_files(spark, f"{sf_dir}/documents.parque[t]", schema)
     settings = Settings(FunctionTranslator(_tag))
     translate_stream(stream, ["doc_id"], settings, out, checkpoint, ["text"]).awaitTermination()
     return spark.read.parquet(out).select("doc_id", "text", "text_status")

@@ -20,7 +20,7 @@ from tonguemill.session import scratch_area
 def read_new_files(
     spark: SparkSession, path: str, schema: T.StructType, name_filter: str | None = None, max_files: int | None = None
 ) -> DataFrame:
-    """A stream over the Parquet files of a folder; each file is seen once."""
+    """A stream over the Parquet files of a folder; each file is seen once. A glob may name folders and single files."""
     reader = spark.readStream.schema(schema)
     if name_filter:
         reader = reader.option("pathGlobFilter", name_filter)
