@@ -562,7 +562,7 @@ def stream_once_per_key(spark, sf_dir):
     source, out, checkpoint = (scratch_path(spark, name) for name in ("in", "out", "stream"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     for part in (docs.where("doc_id % 3 <> 0"), docs):
-        part.coalesce(2).write.mode("append").parquet(source)
+        part.write.mode("append").parquet(source)
         stream = once_per_key(read_new_files(spark, source, docs.schema), ["doc_id"], time_out="7 days")
         translate_stream(stream, ["doc_id"], Settings(FunctionTranslator(_tag)), out, checkpoint, ["text"]).awaitTermination()
     return spark.read.parquet(out).select("doc_id", "text", "text_status")

@@ -14,7 +14,7 @@ from tonguemill.functions.text import text_digest
 from tonguemill.operators.memo import Memo
 from tonguemill.operators.projection import Roles
 from tonguemill.operators.translate import Settings, translate_columns
-from tonguemill.session import scratch_area
+from tonguemill.session import materialize, scratch_area
 
 
 def read_new_files(
@@ -60,14 +60,16 @@ def translate_stream(
     """Translate all rows the stream has not delivered yet, then stop.
 
     Every micro-batch replaces its own folder `batch=<id>`, so a batch repeated after a failure
-    leaves one copy of its rows; its finished calls are in the memo and are not made again.
+    leaves one copy of its rows; its finished calls are in the memo and are not made again. A batch is written
+    before it is translated: its rows are used more than once, and the stream's state is read and kept once.
     """
     if settings.memo is None:
         settings = replace(settings, memo=Memo(f"{checkpoint}/memo"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         with scratch_area(batch.sparkSession):
-            translated = translate_columns(batch, keys, settings, roles, with_status=True)
+            rows = materialize(batch, "batch")
+            translated = translate_columns(rows, keys, settings, roles, with_status=True)
             translated.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     return (
