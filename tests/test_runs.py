@@ -74,6 +74,17 @@ def test_rows_of_an_attempt_that_was_not_recorded_are_not_used(corpus, tmp_path,
     assert translator.calls() == 26  # the lost attempt's replies were in the memo
 
 
+def test_small_waves_go_together_in_passes(corpus, tmp_path, translator):
+    run = start(corpus, tmp_path, translator, chunks_per_wave=1)
+    assert run.translate() == 5
+    state = run.progress.read(corpus.sparkSession).collect()
+    passes = [{r.chunk_id for r in state if r.attempt == attempt} for attempt in {r.attempt for r in state}]
+    assert sorted(passes, key=min) == [{0}, {1, 2}, {3, 4}]
+    scopes = list((tmp_path / "run/memo").iterdir())
+    assert len(scopes) == 1 and len(list(scopes[0].iterdir())) == 5  # replies are committed for each wave
+    assert contents(run.finalize()) == WHOLE and translator.calls() == 26
+
+
 def test_failures_are_reported_and_lose_no_rows(corpus, tmp_path, translator):
     failing = replace(translator, bad="text 7")
     run = start(corpus, tmp_path, failing)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tonguemill.functions.text import text_digest
 from tonguemill.operators.segments import Policy
 from tonguemill.operators.translator import REPLY_SCHEMA, Translator, over_token_limit, translate_distinct
-from tonguemill.session import commit_folder, committed_folders, materialize, scratch_path
+from tonguemill.session import commit_folder, committed_folders, folders_in, materialize, scratch_path
 
 # A text is hot when it takes more than this share of all lookups, so at most 1/share texts are.
 HOT_SHARE = 0.001
@@ -72,7 +72,8 @@ class Memo:
         dealt.write.mode("error").partitionBy("bucket").parquet(f"{folder}/replies")
         spark = replies.sparkSession
         stored = spark.read.schema("text_hash binary, bucket int").parquet(f"{folder}/replies")  # digests alone are read
-        stored.select(F.xxhash64("text_hash").alias("fingerprint"), "bucket").write.mode("error").parquet(f"{folder}/filter")
+        filters = stored.select(F.xxhash64("text_hash").alias("fingerprint"), "bucket").hint("rebalance")  # few files, by size
+        filters.write.mode("error").parquet(f"{folder}/filter")
         commit_folder(spark, folder)
         return folder
 
@@ -135,28 +136,38 @@ def fill_memo(
     `pieces` has (text_hash, piece). Copies of a text meet in each task first, so a text that fills a
     third of the corpus leaves every task once. The calls run in `concurrency` partitions with `in_flight`
     calls at a time in each, which bounds the request rate. With `slices` > 1 the replies are
-    committed in that many parts: a failure repeats one part only. Of earlier commits only the buckets that
-    hold some of the pieces are opened, and of those only the digests are read here.
+    committed in that many parts: a failure repeats one part only. The pending texts are then stored by part, so
+    each part reads its own. Of earlier commits only the buckets that hold some of the pieces are opened, and of
+    those only the digests are read here, once.
     """
     spark = pieces.sparkSession
     scope = scope_of(translator, policy)
     n = concurrency or int(spark.conf.get("spark.sql.shuffle.partitions"))
     earlier = memo.commits(spark, scope)
     wanted = pieces.where(F.col("piece") != "").groupBy("text_hash").agg(F.first("piece").alias("piece"))
-    if slices > 1 or earlier:  # written, or every use would read and gather all texts again
+    if earlier:  # written, or every use would read and gather all texts again
         wanted = materialize(wanted, "wanted")
     folders = memo.holding(wanted, earlier)
-    known = read_replies(spark, folders).select("text_hash")
-    for part in range(slices):
-        in_part = F.pmod(F.xxhash64("text_hash"), F.lit(slices)) == part if slices > 1 else F.lit(True)
-        pending = wanted.where(in_part)
-        if folders:
-            pending = pending.join(known, "text_hash", "left_anti")
-        pending = _dealt(pending, n, memo.buckets).withColumn("over_limit", over_token_limit("piece", policy))
-        folders = [*folders, f"{memo.append(translate_distinct(pending, translator, policy, in_flight), scope)}/replies"]
+    pending = wanted
+    if folders:
+        pending = pending.join(read_replies(spark, folders).select("text_hash"), "text_hash", "left_anti")
+    for part in _parts(pending, slices) if slices > 1 else [pending]:
+        part = _dealt(part, n, memo.buckets).withColumn("over_limit", over_token_limit("piece", policy))
+        folders = [*folders, f"{memo.append(translate_distinct(part, translator, policy, in_flight), scope)}/replies"]
     return folders
 
 
+def _parts(pending: DataFrame, slices: int) -> list[DataFrame]:
+    """The rows in `slices` parts by digest, each stored in a folder of its own; parts without rows are left out."""
+    spark = pending.sparkSession
+    path = scratch_path(spark, "parts")
+    # Other bits of the digest than those that choose the bucket, so that a part has rows of every bucket.
+    part = F.pmod(F.xxhash64("text_hash", F.lit("part")), F.lit(slices)).cast("int")
+    dealt = pending.withColumn("part", part).repartitionById(slices, F.col("part"))
+    dealt.write.mode("error").partitionBy("part").parquet(path)
+    return [spark.read.schema(pending.schema).parquet(f"{path}/{name}") for name in sorted(folders_in(spark, path))]
+
+
 def hot_texts(index: DataFrame, share: float = HOT_SHARE, min_rows: int = 1) -> DataFrame | None:
     """(text_hash, n_salts) of texts with too many lookups for one task; None if there are none.
 

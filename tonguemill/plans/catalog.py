@@ -331,7 +331,9 @@ def uniform_batches(spark, sf_dir):
 
 
 def _translation_run(spark, sf_dir, chunks_per_wave: int = CHUNKS_PER_WAVE) -> TranslationRun:
-    rows = materialize(languages(spark, sf_dir), "corpus")
+    placed, path = languages(spark, sf_dir), scratch_path(spark, "corpus")
+    sinks.write_splits(placed, path, rows_per_file=CHUNK_ROWS * CHUNKS_PER_WAVE)  # a range of waves is a range of files
+    rows = spark.read.schema(placed.schema).parquet(path).select(*placed.columns)
     return TranslationRun(
         rows,
         scratch_path(spark, "run"),

@@ -33,6 +33,8 @@ from tonguemill.sources.sinks import MANIFEST, manifest, publish_splits, write_m
 ROW_KEY = (CONFIG, SPLIT, ROW)
 # Fixed value: chunk size of a smoke test.
 SMOKE_CHUNK = 5
+# Most waves whose rows are put together and recorded at once.
+PASS_WAVES = 64
 RECORD = (
     "provider string, model string, source string, target string, roles string, policy string, "
     "batching string, null_conversation string, chunk_size bigint, fingerprint string"
@@ -44,7 +46,10 @@ class TranslationRun:
     """Translate `corpus` (config, split, row_idx, ...) into `work_dir`.
 
     A wave is the same range of `chunks_per_wave` chunks in every split: a filter on `row_idx`, which
-    the stored corpus answers from Parquet statistics. Waves bound what a failure can lose. Each wave
+    the stored corpus answers from Parquet statistics. Waves bound what a failure can lose of paid calls: the
+    replies are committed in as many parts as there are waves. Around the calls, waves go together in passes of
+    1, 2, 4, ... up to `PASS_WAVES` waves, so a failure also loses what a pass cuts and joins, which is at most as
+    much as was done before it, and no calls; small waves don't cost a round of small jobs each. Each pass
     writes its rows to a folder of its own and then records its chunks together with that folder, so
     rows of an interrupted attempt are never read. Rows in equal rows out: what fails keeps its text.
     """
@@ -132,32 +137,43 @@ class TranslationRun:
             settings = replace(settings, memo=Memo(f"{self.work_dir}/memo"))
         if self.progress.ranges_of_run(self.spark, self.fingerprint).isEmpty():
             self._record()
+        with scratch_area(self.spark):
+            pending = self._pending_waves()[:max_waves]
         worked = 0
-        for start, end in self.waves():
-            if max_waves is not None and worked == max_waves:
-                break
+        while worked < len(pending):
+            together = pending[worked : worked + min(worked + 1, PASS_WAVES)]
             with scratch_area(self.spark):
-                rows = self._pending_rows(start, end)
-                if rows is not None:
-                    self._translate_wave(rows, settings)
-                    worked += 1
+                rows = self._pending_rows(together[0][0], together[-1][1])
+                self._translate_waves(rows, len(together), settings)
+            worked += len(together)
         return worked
 
-    def _pending_rows(self, start: int, end: int) -> DataFrame | None:
-        """Rows of a wave that no recorded range covers; None if it is finished."""
+    def _pending_waves(self) -> list[tuple[int, int]]:
+        """The waves that hold rows which no recorded range covers."""
+        waves = self.waves()
+        if not waves:
+            return []
+        step = waves[0][1] - waves[0][0]
+        rows = self._outside_of_done(self.corpus.select(*ROW_KEY), self.progress.ranges(self.spark))
+        found = rows.select(F.floor(F.col(ROW) / F.lit(step)).cast("bigint").alias("wave")).distinct().collect()
+        return [waves[r.wave] for r in sorted(found)]
+
+    def _pending_rows(self, start: int, end: int) -> DataFrame:
+        """Rows at positions from `start` to `end` that no recorded range covers."""
         rows = self.corpus.where((F.col(ROW) >= start) & (F.col(ROW) < end))
         done = self.progress.ranges(self.spark).where((F.col("row_start") < end) & (F.col("row_end") > start))
-        if done.isEmpty():
-            return rows
-        done = materialize(finished_ranges(done), "finished")
-        left = outside(rows, done)
-        return None if outside(rows.select(*ROW_KEY), done).isEmpty() else left.select(*self.corpus.columns)
+        return self._outside_of_done(rows, done).select(*self.corpus.columns)
 
-    def _translate_wave(self, rows: DataFrame, settings: Settings) -> None:
+    def _outside_of_done(self, rows: DataFrame, done: DataFrame) -> DataFrame:
+        return rows if done.isEmpty() else outside(rows, materialize(finished_ranges(done), "finished"))
+
+    def _translate_waves(self, rows: DataFrame, n_waves: int, settings: Settings) -> None:
         attempt = uuid.uuid4().hex
-        translated = translate_columns(rows, ROW_KEY, settings, self.chosen, with_status=True)
-        # One folder per split: the wave is its unit of writing, the chunk that of progress.
-        write_splits(translated, self._staged(attempt))
+        by_wave = replace(settings, memo_slices=settings.memo_slices * n_waves)
+        translated = translate_columns(rows, ROW_KEY, by_wave, self.chosen, with_status=True)
+        # A folder per split and wave: the pass is the unit of writing, the chunk that of progress.
+        in_files = {"rows_per_file": self.chunk_size * self.chunks_per_wave} if self.chunks_per_wave else {}
+        write_splits(translated, self._staged(attempt), **in_files)
         staged = self._read_staged([attempt])
         finished = chunk_progress(staged, self.chunk_size, list(self.chosen))
         self.progress.append(finished, self.fingerprint, attempt, self.chunk_size)
