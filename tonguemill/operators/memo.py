@@ -6,6 +6,7 @@ import hashlib
 import re
 import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,12 +15,16 @@ from pyspark.sql import functions as F
 from tonguemill.functions.text import text_digest
 from tonguemill.operators.segments import Policy
 from tonguemill.operators.translator import REPLY_SCHEMA, Translator, over_token_limit, translate_distinct
-from tonguemill.session import commit_folder, committed_folders, folders_in, materialize, scratch_path
+from tonguemill.session import commit_folder, committed_folders, folders_in, materialize, materialize_at, scratch_path, stored_bytes
 
 # A text is hot when it takes more than this share of all lookups, so at most 1/share texts are.
 HOT_SHARE = 0.001
 # Folders of a commit; a lookup opens those that hold a digest it asks for.
 BUCKETS = 32
+# Stored texts that a translator task takes at most, where there are more tasks to be had.
+TASK_BYTES = 32 << 20
+# Files that a part of the pending texts is stored in, at least.
+PART_FILES = 4
 FILTER_SCHEMA = "fingerprint bigint, bucket int"
 
 
@@ -65,18 +70,33 @@ class Memo:
         folder = {c.rsplit("/", 1)[1]: c for c in commits}
         return sorted(f"{folder[r.commit]}/replies/bucket={r.bucket}" for r in found.select("commit", "bucket").distinct().collect())
 
-    def append(self, replies: DataFrame, scope: str) -> str:
-        """Commit replies, and return the folder that holds them."""
+    def append(self, replies: DataFrame, scope: str, digests: DataFrame | None = None) -> str:
+        """Commit replies, and return the folder that holds them.
+
+        The filter is made of the replies when they are written or, of stored `digests` that are known to be theirs, meanwhile.
+        """
         folder = f"{self.path}/scope={scope}/commit={uuid.uuid4().hex}"
-        dealt = replies.withColumn("bucket", bucket_of("text_hash", self.buckets)).sortWithinPartitions("bucket", "text_hash")
-        dealt.write.mode("error").partitionBy("bucket").parquet(f"{folder}/replies")
         spark = replies.sparkSession
-        stored = spark.read.schema("text_hash binary, bucket int").parquet(f"{folder}/replies")  # digests alone are read
-        filters = stored.select(F.xxhash64("text_hash").alias("fingerprint"), "bucket").hint("rebalance")  # few files, by size
-        filters.write.mode("error").parquet(f"{folder}/filter")
+        if digests is None:
+            self._write_replies(replies, folder)
+            # Digests alone are read.
+            self._write_filter(spark.read.schema("text_hash binary").parquet(f"{folder}/replies"), folder)
+        else:
+            with ThreadPoolExecutor(1) as beside:
+                filtered = beside.submit(self._write_filter, digests, folder)
+                self._write_replies(replies, folder)
+                filtered.result()
         commit_folder(spark, folder)
         return folder
 
+    def _write_replies(self, replies: DataFrame, folder: str) -> None:
+        dealt = replies.withColumn("bucket", bucket_of("text_hash", self.buckets)).sortWithinPartitions("bucket", "text_hash")
+        dealt.write.mode("error").partitionBy("bucket").parquet(f"{folder}/replies")
+
+    def _write_filter(self, digests: DataFrame, folder: str) -> None:
+        filters = digests.select(F.xxhash64("text_hash").alias("fingerprint"), bucket_of("text_hash", self.buckets).alias("bucket"))
+        filters.hint("rebalance").write.mode("error").parquet(f"{folder}/filter")  # few files, by size
+
 
 def bucket_of(digest: Column | str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(digest), F.lit(buckets)).cast("int")
@@ -122,6 +142,26 @@ def _dealt(pending: DataFrame, n: int, buckets: int) -> DataFrame:
     return pending.repartitionById(buckets * spread, (bucket * spread + inside).cast("int"))
 
 
+@dataclass(frozen=True)
+class Answers:
+    """Where the replies to some pieces are: those to the `known` digests in buckets of earlier commits, the others in new ones."""
+
+    earlier: list[str]
+    known: DataFrame | None
+    new: list[str]
+
+    @property
+    def folders(self) -> list[str]:
+        return [*self.earlier, *self.new]
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """The replies to the pieces and, of the buckets that are opened, no others: their texts need not travel."""
+        new = read_replies(spark, self.new)
+        if not self.earlier:
+            return new
+        return read_replies(spark, self.earlier).join(self.known, "text_hash", "left_semi").unionByName(new)
+
+
 def fill_memo(
     pieces: DataFrame,
     translator: Translator,
@@ -131,41 +171,95 @@ def fill_memo(
     slices: int = 1,
     in_flight: int = 1,
 ) -> list[str]:
-    """Translate every distinct piece the memo lacks, store the replies, and name the folders that answer all pieces.
+    """Translate every distinct piece the memo lacks, store the replies, and name the folders that answer all pieces."""
+    return answer(pieces, translator, policy, memo, concurrency, slices, in_flight).folders
+
+
+def answer(
+    pieces: DataFrame,
+    translator: Translator,
+    policy: Policy,
+    memo: Memo,
+    concurrency: int | None = None,
+    slices: int = 1,
+    in_flight: int = 1,
+    stored: str | None = None,
+) -> Answers:
+    """Translate every distinct piece the memo lacks and store the replies.
 
     `pieces` has (text_hash, piece). Copies of a text meet in each task first, so a text that fills a
     third of the corpus leaves every task once. The calls run in `concurrency` partitions with `in_flight`
-    calls at a time in each, which bounds the request rate. With `slices` > 1 the replies are
+    calls at a time in each, which bounds the request rate; without it there are as many tasks as the session runs at
+    a time, or more if the texts are large. That is seen where they are stored, as `pieces` may be, in the folder `stored`. With `slices` > 1 the replies are
     committed in that many parts: a failure repeats one part only. The pending texts are then stored by part, so
-    each part reads its own. Of earlier commits only the buckets that hold some of the pieces are opened, and of
-    those only the digests are read here, once.
+    each part reads its own, and its filter is written while its calls are made. Of earlier commits only the buckets
+    that hold some of the pieces are opened, and of those only the digests are read here, once.
     """
     spark = pieces.sparkSession
     scope = scope_of(translator, policy)
-    n = concurrency or int(spark.conf.get("spark.sql.shuffle.partitions"))
     earlier = memo.commits(spark, scope)
     wanted = pieces.where(F.col("piece") != "").groupBy("text_hash").agg(F.first("piece").alias("piece"))
     if earlier:  # written, or every use would read and gather all texts again
-        wanted = materialize(wanted, "wanted")
-    folders = memo.holding(wanted, earlier)
+        stored = scratch_path(spark, "wanted")
+        wanted = materialize_at(wanted, stored)
+    folders, known = memo.holding(wanted, earlier), None
     pending = wanted
     if folders:
-        pending = pending.join(read_replies(spark, folders).select("text_hash"), "text_hash", "left_anti")
-    for part in _parts(pending, slices) if slices > 1 else [pending]:
-        part = _dealt(part, n, memo.buckets).withColumn("over_limit", over_token_limit("piece", policy))
-        folders = [*folders, f"{memo.append(translate_distinct(part, translator, policy, in_flight), scope)}/replies"]
-    return folders
+        held = read_replies(spark, folders).select("text_hash")
+        known = materialize(held.join(wanted.select("text_hash"), "text_hash", "left_semi"), "known")
+        pending = pending.join(known, "text_hash", "left_anti")
+    if slices > 1:
+        new = [
+            memo.append(
+                translate_distinct(_sent(_dealt_part(part, n, slices, memo.buckets), policy), translator, policy, in_flight),
+                scope,
+                part.select("text_hash"),
+            )
+            for part, n in _parts(pending, slices, memo.buckets, concurrency)
+        ]
+    else:
+        n = _n_tasks(spark, stored, concurrency)
+        new = [memo.append(translate_distinct(_sent(_dealt(pending, n, memo.buckets), policy), translator, policy, in_flight), scope)]
+    return Answers(folders, known, [f"{commit}/replies" for commit in new])
+
+
+def _sent(texts: DataFrame, policy: Policy) -> DataFrame:
+    return texts.withColumn("over_limit", over_token_limit("piece", policy))
 
 
-def _parts(pending: DataFrame, slices: int) -> list[DataFrame]:
-    """The rows in `slices` parts by digest, each stored in a folder of its own; parts without rows are left out."""
+def _n_tasks(spark: SparkSession, stored: str | None, concurrency: int | None) -> int:
+    """Translator tasks for the texts in the folder `stored`. Small ones beyond those that run at a time would only cost their start."""
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if concurrency or stored is None:
+        return concurrency or most
+    return min(most, max(spark.sparkContext.defaultParallelism, -(-stored_bytes(spark, stored) // TASK_BYTES)))
+
+
+def _place(slices: int, buckets: int) -> Column:
+    """A digest's place in [0, slices) along the buckets: the whole part is its slice, so a slice has rows of few buckets."""
+    inside = F.pmod(F.xxhash64("text_hash", F.lit("place")), F.lit(1 << 30)) / F.lit(1 << 30)
+    return (bucket_of("text_hash", buckets) + inside) * F.lit(slices) / F.lit(buckets)
+
+
+def _dealt_part(part: DataFrame, n: int, slices: int, buckets: int) -> DataFrame:
+    """Rows of a part dealt to `n` tasks along the buckets."""
+    place = _place(slices, buckets)
+    return part.repartitionById(n, F.floor((place - F.floor(place)) * n).cast("int"))
+
+
+def _parts(pending: DataFrame, slices: int, buckets: int, concurrency: int | None) -> list[tuple[DataFrame, int]]:
+    """The rows in `slices` parts by digest, each stored in a folder of its own, with its number of tasks.
+
+    A part has rows of few buckets, so that a commit has few folders. Parts without rows are left out.
+    """
     spark = pending.sparkSession
     path = scratch_path(spark, "parts")
-    # Other bits of the digest than those that choose the bucket, so that a part has rows of every bucket.
-    part = F.pmod(F.xxhash64("text_hash", F.lit("part")), F.lit(slices)).cast("int")
-    dealt = pending.withColumn("part", part).repartitionById(slices, F.col("part"))
+    files = max(PART_FILES, -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // slices))
+    dealt = pending.withColumn("part", F.floor(_place(slices, buckets)).cast("int"))
+    dealt = dealt.repartition("part", F.pmod(F.hash("text_hash"), F.lit(files)))
     dealt.write.mode("error").partitionBy("part").parquet(path)
-    return [spark.read.schema(pending.schema).parquet(f"{path}/{name}") for name in sorted(folders_in(spark, path))]
+    folders = [f"{path}/{name}" for name in sorted(folders_in(spark, path))]
+    return [(spark.read.schema(pending.schema).parquet(f), _n_tasks(spark, f, concurrency)) for f in folders]
 
 
 def hot_texts(index: DataFrame, share: float = HOT_SHARE, min_rows: int = 1) -> DataFrame | None:

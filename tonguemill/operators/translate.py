@@ -18,11 +18,11 @@ from tonguemill.operators.batching import (
     unpack_replies,
     unpacked_cells,
 )
-from tonguemill.operators.memo import HOT_SHARE, Memo, fill_memo, hot_texts, look_up, read_replies, with_digest
+from tonguemill.operators.memo import HOT_SHARE, Memo, answer, hot_texts, look_up, with_digest
 from tonguemill.operators.projection import CONVERSATION, Roles, translatable, translation_roles
 from tonguemill.operators.segments import Policy, bytes_policy, explode_pieces, joined_text, piece_fields
 from tonguemill.operators.translator import TRANSLATED, UNCHANGED, Translator
-from tonguemill.session import materialize
+from tonguemill.session import materialize, materialize_at, scratch_path
 from tonguemill.sources.corpus import CONFIG, ROW, SPLIT
 
 
@@ -62,12 +62,13 @@ def translate_cells(
     policy = settings.policy
     places = () if settings.share_replies else (*keys, "seg", "sub")
     pieces = with_digest(explode_pieces(cells, keys, "text", policy), places).withColumn("blank", F.col("piece") == "")
-    pieces = materialize(pieces, "pieces")
+    stored = scratch_path(spark, "pieces")
+    pieces = materialize_at(pieces, stored)
     index = pieces.drop("piece")
-    folders = fill_memo(
-        pieces, settings.translator, policy, settings.memo, settings.concurrency, settings.memo_slices, settings.in_flight
+    answers = answer(
+        pieces, settings.translator, policy, settings.memo, settings.concurrency, settings.memo_slices, settings.in_flight, stored
     )
-    replies = read_replies(spark, folders).drop("attempts")
+    replies = answers.read(spark).drop("attempts")
     hot = hot_texts(index, settings.hot_share, settings.hot_min_rows)
     found = look_up(index, replies, [*keys, "seg", "sub"], hot)
     # Only the empty piece of a blank text has no reply; any other that is missing must not become an empty text.

@@ -79,6 +79,12 @@ def folders_in(spark: SparkSession, path: str) -> list[str]:
     return [entry.getPath().getName() for entry in found if entry.isDirectory()]
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """What the files in a folder take."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder on whatever file system it is."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -103,6 +109,10 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     This cuts the lineage, survives lost executors, and gives Catalyst the true size on disk, so a
     later join is broadcast only when that size is under the session's threshold.
     """
-    path = scratch_path(df.sparkSession, name)
+    return materialize_at(df, scratch_path(df.sparkSession, name))
+
+
+def materialize_at(df: DataFrame, path: str) -> DataFrame:
+    """As `materialize`, in a folder of the caller's."""
     df.write.mode("error").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
