@@ -23,8 +23,8 @@ HOT_SHARE = 0.001
 BUCKETS = 32
 # Stored texts that a translator task takes at most, where there are more tasks to be had.
 TASK_BYTES = 32 << 20
-# Files that a part of the pending texts is stored in, at least.
-PART_FILES = 4
+# Stored texts in a file of a part, about.
+PART_FILE_BYTES = 4 << 20
 FILTER_SCHEMA = "fingerprint bigint, bucket int"
 
 
@@ -198,16 +198,17 @@ def answer(
     spark = pieces.sparkSession
     scope = scope_of(translator, policy)
     earlier = memo.commits(spark, scope)
-    wanted = pieces.where(F.col("piece") != "").groupBy("text_hash").agg(F.first("piece").alias("piece"))
-    if earlier:  # written, or every use would read and gather all texts again
+    pending = pieces.where(F.col("piece") != "").groupBy("text_hash").agg(F.first("piece").alias("piece"))
+    asked = pieces.select("text_hash")
+    if earlier and stored is None:  # written, or every use would read and gather all texts again
         stored = scratch_path(spark, "wanted")
-        wanted = materialize_at(wanted, stored)
-    folders, known = memo.holding(wanted, earlier), None
-    pending = wanted
+        pending = materialize_at(pending, stored)
+        asked = pending.select("text_hash")
+    folders, known = memo.holding(asked, earlier), None
     if folders:
         held = read_replies(spark, folders).select("text_hash")
-        known = materialize(held.join(wanted.select("text_hash"), "text_hash", "left_semi"), "known")
-        pending = pending.join(known, "text_hash", "left_anti")
+        known = materialize(held.join(asked, "text_hash", "left_semi"), "known")
+        pending = pending.join(known, "text_hash", "left_anti")  # grouped before, so no copies travel
     if slices > 1:
         new = [
             memo.append(
@@ -215,7 +216,7 @@ def answer(
                 scope,
                 part.select("text_hash"),
             )
-            for part, n in _parts(pending, slices, memo.buckets, concurrency)
+            for part, n in _parts(pending, slices, memo.buckets, concurrency, stored)
         ]
     else:
         n = _n_tasks(spark, stored, concurrency)
@@ -247,14 +248,18 @@ def _dealt_part(part: DataFrame, n: int, slices: int, buckets: int) -> DataFrame
     return part.repartitionById(n, F.floor((place - F.floor(place)) * n).cast("int"))
 
 
-def _parts(pending: DataFrame, slices: int, buckets: int, concurrency: int | None) -> list[tuple[DataFrame, int]]:
+def _parts(
+    pending: DataFrame, slices: int, buckets: int, concurrency: int | None, stored: str | None
+) -> list[tuple[DataFrame, int]]:
     """The rows in `slices` parts by digest, each stored in a folder of its own, with its number of tasks.
 
     A part has rows of few buckets, so that a commit has few folders. Parts without rows are left out.
     """
     spark = pending.sparkSession
     path = scratch_path(spark, "parts")
-    files = max(PART_FILES, -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // slices))
+    files = -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // slices)
+    if stored:
+        files = max(1, min(files, stored_bytes(spark, stored) // (PART_FILE_BYTES * slices)))
     dealt = pending.withColumn("part", F.floor(_place(slices, buckets)).cast("int"))
     dealt = dealt.repartition("part", F.pmod(F.hash("text_hash"), F.lit(files)))
     dealt.write.mode("error").partitionBy("part").parquet(path)

@@ -10,6 +10,7 @@ from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tonguemill import functions as fn
 from tonguemill.operators import batching, cost, memo, progress, projection, sampling, segments
@@ -18,7 +19,7 @@ from tonguemill.operators.translator import FunctionTranslator
 from tonguemill.plans.translation_run import TranslationRun
 from tonguemill.session import materialize, scratch_path
 from tonguemill.sources import corpus, positions, sinks
-from tonguemill.sources.corpus import CONFIG, ROW, SPLIT
+from tonguemill.sources.corpus import CONFIG, RANGE, ROW, SPLIT
 from tonguemill.streaming.incremental import once_per_key, read_new_files, translate_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -332,8 +333,10 @@ def uniform_batches(spark, sf_dir):
 
 def _translation_run(spark, sf_dir, chunks_per_wave: int = CHUNKS_PER_WAVE) -> TranslationRun:
     placed, path = languages(spark, sf_dir), scratch_path(spark, "corpus")
-    sinks.write_splits(placed, path, rows_per_file=CHUNK_ROWS * CHUNKS_PER_WAVE)  # a range of waves is a range of files
-    rows = spark.read.schema(placed.schema).parquet(path).select(*placed.columns)
+    rows_per_file = CHUNK_ROWS * CHUNKS_PER_WAVE  # a range of waves is a range of files
+    sinks.write_splits(placed, path, rows_per_file=rows_per_file)
+    stored = StructType([*placed.schema.fields, StructField(RANGE, StringType())])
+    rows = spark.read.schema(stored).parquet(path).select(*placed.columns, RANGE)
     return TranslationRun(
         rows,
         scratch_path(spark, "run"),
@@ -341,6 +344,7 @@ def _translation_run(spark, sf_dir, chunks_per_wave: int = CHUNKS_PER_WAVE) -> T
         ["text"],
         chunk_size=CHUNK_ROWS,
         chunks_per_wave=chunks_per_wave,
+        rows_per_file=rows_per_file,
     )
 
 

@@ -26,9 +26,9 @@ from tonguemill.operators.segments import Policy
 from tonguemill.operators.translate import Settings, translate_columns
 from tonguemill.operators.translator import FAILED, Translator
 from tonguemill.session import commit_folder, committed_folders, folders_in, materialize, remove, scratch_area
-from tonguemill.sources.corpus import CONFIG, ROW, SPLIT
+from tonguemill.sources.corpus import CONFIG, RANGE, ROW, SPLIT
 from tonguemill.sources.positions import plan_chunks
-from tonguemill.sources.sinks import MANIFEST, manifest, publish_splits, write_manifest, write_splits
+from tonguemill.sources.sinks import MANIFEST, manifest, publish_splits, range_name, write_manifest, write_splits
 
 ROW_KEY = (CONFIG, SPLIT, ROW)
 # Fixed value: chunk size of a smoke test.
@@ -52,6 +52,9 @@ class TranslationRun:
     much as was done before it, and no calls; small waves don't cost a round of small jobs each. Each pass
     writes its rows to a folder of its own and then records its chunks together with that folder, so
     rows of an interrupted attempt are never read. Rows in equal rows out: what fails keeps its text.
+
+    A corpus read from `write_splits` may have the `row_range` of its folders, which is no column of the result: with
+    the `rows_per_file` it was written with, a pass opens its own folders only.
     """
 
     corpus: DataFrame
@@ -60,6 +63,7 @@ class TranslationRun:
     roles: Roles | Sequence[str] | None = None
     chunk_size: int = 100
     chunks_per_wave: int | None = None
+    rows_per_file: int | None = None
 
     def __post_init__(self) -> None:
         """Packing restarts in every chunk of the run, so what is packed does not depend on waves or stops."""
@@ -108,6 +112,10 @@ class TranslationRun:
     def spark(self) -> SparkSession:
         return self.corpus.sparkSession
 
+    @property
+    def columns(self) -> list[str]:
+        return [c for c in self.corpus.columns if c != RANGE]
+
     @property
     def chosen(self) -> dict[str, str]:
         return translation_roles(self.corpus, self.roles)
@@ -161,8 +169,11 @@ class TranslationRun:
     def _pending_rows(self, start: int, end: int) -> DataFrame:
         """Rows at positions from `start` to `end` that no recorded range covers."""
         rows = self.corpus.where((F.col(ROW) >= start) & (F.col(ROW) < end))
+        if self.rows_per_file:
+            first = start - start % self.rows_per_file
+            rows = rows.where(F.col(RANGE).between(range_name(first), range_name(end - 1)))
         done = self.progress.ranges(self.spark).where((F.col("row_start") < end) & (F.col("row_end") > start))
-        return self._outside_of_done(rows, done).select(*self.corpus.columns)
+        return self._outside_of_done(rows, done).select(*self.columns)
 
     def _outside_of_done(self, rows: DataFrame, done: DataFrame) -> DataFrame:
         return rows if done.isEmpty() else outside(rows, materialize(finished_ranges(done), "finished"))
@@ -188,10 +199,10 @@ class TranslationRun:
     def _read_staged(self, attempts: Sequence[str]) -> DataFrame:
         """Rows of committed attempts with the corpus's columns and the outcome of each translated one."""
         statuses = [f"{c}_status" for c in self.chosen]
-        fields = [*self.corpus.columns, *statuses]
+        fields = [*self.columns, *statuses]
         types = {f.name: f.dataType for f in self.corpus.schema.fields}
         if not attempts:
-            return self.corpus.limit(0).select("*", *[F.lit(None).cast("string").alias(s) for s in statuses])
+            return self.corpus.limit(0).select(*self.columns, *[F.lit(None).cast("string").alias(s) for s in statuses])
         staged = self.spark.read.option("basePath", f"{self.work_dir}/staging").parquet(
             *[self._staged(a) for a in attempts]
         )
@@ -224,7 +235,7 @@ class TranslationRun:
         begun = folders_in(self.spark, f"{self.work_dir}/published")
         number = 1 + max((int(name.removeprefix("version=")) for name in begun), default=0)
         version = f"{self.work_dir}/published/version={number:08d}"
-        publish_splits(staged.select(*self.corpus.columns), f"{version}/data")
+        publish_splits(staged.select(*self.columns), f"{version}/data")
         self._failures(staged).write.mode("error").parquet(f"{version}/failed")
         write_manifest(manifest(self._read_data(version), list(self.chosen)), f"{version}/manifest")
         return version
@@ -243,8 +254,8 @@ class TranslationRun:
         return versions[-1]
 
     def _read_data(self, version: str) -> DataFrame:
-        written = self.spark.read.schema(self.corpus.schema).parquet(f"{version}/data")
-        return written.select(*self.corpus.columns)
+        written = self.spark.read.schema(self.corpus.select(*self.columns).schema).parquet(f"{version}/data")
+        return written.select(*self.columns)
 
     def retire_versions(self) -> None:
         """Delete all versions but the newest published one; call it when no reader uses them any more."""

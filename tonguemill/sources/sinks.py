@@ -64,6 +64,11 @@ def stage_chunks(df: DataFrame, path: str, chunk_size: int, chunks_per_folder: i
 RANGE_DIGITS = 12
 
 
+def range_name(first: int) -> str:
+    """Name of the folder of the rows from position `first` on."""
+    return str(first).zfill(RANGE_DIGITS)
+
+
 def _with_range(df: DataFrame, rows_per_file: int) -> DataFrame:
     first = F.floor(F.col(ROW) / F.lit(rows_per_file)).cast("bigint") * rows_per_file
     return _with_names(df).withColumn(RANGE, F.lpad(first.cast("string"), RANGE_DIGITS, "0"))
