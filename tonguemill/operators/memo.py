@@ -23,6 +23,8 @@ HOT_SHARE = 0.001
 BUCKETS = 32
 # Stored texts that a translator task takes at most, where there are more tasks to be had.
 TASK_BYTES = 32 << 20
+# Stored texts whose digests one task takes.
+DIGEST_TASK_BYTES = 1 << 30
 # Stored texts in a file of a part, about.
 PART_FILE_BYTES = 4 << 20
 FILTER_SCHEMA = "fingerprint bigint, bucket int"
@@ -80,7 +82,8 @@ class Memo:
         if digests is None:
             self._write_replies(replies, folder)
             # Digests alone are read.
-            self._write_filter(spark.read.schema("text_hash binary").parquet(f"{folder}/replies"), folder)
+            stored = spark.read.schema("text_hash binary").parquet(f"{folder}/replies")
+            self._write_filter(stored.hint("rebalance"), folder)  # few files, by size
         else:
             with ThreadPoolExecutor(1) as beside:
                 filtered = beside.submit(self._write_filter, digests, folder)
@@ -95,7 +98,7 @@ class Memo:
 
     def _write_filter(self, digests: DataFrame, folder: str) -> None:
         filters = digests.select(F.xxhash64("text_hash").alias("fingerprint"), bucket_of("text_hash", self.buckets).alias("bucket"))
-        filters.hint("rebalance").write.mode("error").parquet(f"{folder}/filter")  # few files, by size
+        filters.write.mode("error").parquet(f"{folder}/filter")
 
 
 def bucket_of(digest: Column | str, buckets: int) -> Column:
@@ -214,9 +217,9 @@ def answer(
             memo.append(
                 translate_distinct(_sent(_dealt_part(part, n, slices, memo.buckets), policy), translator, policy, in_flight),
                 scope,
-                part.select("text_hash"),
+                digests,
             )
-            for part, n in _parts(pending, slices, memo.buckets, concurrency, stored)
+            for part, digests, n in _parts(pending, slices, memo.buckets, concurrency, stored)
         ]
     else:
         n = _n_tasks(spark, stored, concurrency)
@@ -250,10 +253,11 @@ def _dealt_part(part: DataFrame, n: int, slices: int, buckets: int) -> DataFrame
 
 def _parts(
     pending: DataFrame, slices: int, buckets: int, concurrency: int | None, stored: str | None
-) -> list[tuple[DataFrame, int]]:
-    """The rows in `slices` parts by digest, each stored in a folder of its own, with its number of tasks.
+) -> list[tuple[DataFrame, DataFrame, int]]:
+    """The rows in `slices` parts by digest, each stored in a folder of its own, with its digests and number of tasks.
 
-    A part has rows of few buckets, so that a commit has few folders. Parts without rows are left out.
+    A part has rows of few buckets, so that a commit has few folders. Digests come in few tasks, as they are a small
+    share of a part. Parts without rows are left out.
     """
     spark = pending.sparkSession
     path = scratch_path(spark, "parts")
@@ -263,8 +267,13 @@ def _parts(
     dealt = pending.withColumn("part", F.floor(_place(slices, buckets)).cast("int"))
     dealt = dealt.repartition("part", F.pmod(F.hash("text_hash"), F.lit(files)))
     dealt.write.mode("error").partitionBy("part").parquet(path)
-    folders = [f"{path}/{name}" for name in sorted(folders_in(spark, path))]
-    return [(spark.read.schema(pending.schema).parquet(f), _n_tasks(spark, f, concurrency)) for f in folders]
+    parts = []
+    for name in sorted(folders_in(spark, path)):
+        folder = f"{path}/{name}"
+        part = spark.read.schema(pending.schema).parquet(folder)
+        digests = part.select("text_hash").coalesce(1 + stored_bytes(spark, folder) // DIGEST_TASK_BYTES)
+        parts.append((part, digests, _n_tasks(spark, folder, concurrency)))
+    return parts
 
 
 def hot_texts(index: DataFrame, share: float = HOT_SHARE, min_rows: int = 1) -> DataFrame | None:
